@@ -10,6 +10,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.functions.dates import instant
+
 RUN_DATE = date(2024, 1, 7)
 NOW = datetime(2024, 2, 4)
 HOST = r"example\.(?:com|net|org)"
@@ -26,8 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream; the pattern fits a single file as well as a folder."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def messages_from(documents: DataFrame) -> DataFrame:
@@ -99,7 +102,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     n = F.col("doc_id")
     url = F.concat(F.lit(POST_URL), F.sha1("text"))
-    title = F.concat(F.lit("  Post "), n.cast("string"), F.lit("\n"))
+    title = F.concat(F.lit("\u00a0 Post "), n.cast("string"), F.lit("\n"))
     return table(spark, sf_dir, "documents").select(
         n,
         F.lit("1.0").alias("schema_version"),
@@ -181,5 +184,5 @@ def document_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("n").cast("string"), F.lit(" posts")).alias("summary"),
         F.lit("## rewritten").alias("content_md"),
         F.lit("[]").alias("keywords_json"),
-        F.lit(NOW).alias("created_at"),
+        instant(NOW).alias("created_at"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,3 +46,10 @@ def local_date(c: Column, tz: str, is_utc: bool = True) -> Column:
 def iso_z(c: Column) -> Column:
     """ISO text of a whole second in UTC."""
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def instant(at: datetime | None) -> Column:
+    """A given time, taken as UTC when it names no zone, or the current one."""
+    if at is None:
+        return F.current_timestamp()
+    return F.lit(at if at.tzinfo else at.replace(tzinfo=UTC))

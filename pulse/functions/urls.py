@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,6 +16,11 @@ from pulse.functions.text import strip
 KEEP_KEYS = ("blogId", "logNo", "Redirect", "proxyReferer")
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _query_value(query: Column, key: str) -> Column:
     """First non-blank value of a key, decoded; null when absent."""
     raw = F.regexp_extract(query, rf"(?:^|&){key}=([^&]+)", 1)
@@ -31,18 +36,27 @@ def _quote(c: Column) -> Column:
     return out
 
 
-def normalize_url(c: Column, keep_keys: Sequence[str] = KEEP_KEYS) -> Column:
-    """Trimmed link without fragment and with only the named query keys."""
-    url = strip(c)
-    base = F.regexp_extract(url, r"^([^?#]*)", 1)
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
-    base = F.concat(F.lower(scheme), F.substring(base, F.length(scheme) + 1, F.length(base)))
-    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+def _kept_query(query: Column, keep_keys: Sequence[str]) -> Column:
+    """``?`` and the named pairs, or nothing."""
     pairs = [
         F.concat(F.lit(f"{key}="), _quote(_query_value(query, key))) for key in keep_keys
     ]
-    kept = F.concat_ws("&", *pairs) if pairs else F.lit("")
-    return F.when(kept != "", F.concat(base, F.lit("?"), kept)).otherwise(base)
+    return _bind(
+        F.concat_ws("&", *pairs),
+        lambda kept: F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""),
+    )
+
+
+def normalize_url(c: Column, keep_keys: Sequence[str] = KEEP_KEYS) -> Column:
+    """Trimmed link without fragment and with only the named query keys."""
+
+    def rebuilt(url: Column) -> Column:
+        scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
+        rest = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)", 1)
+        query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+        return F.concat(F.lower(scheme), rest, _kept_query(query, keep_keys))
+
+    return _bind(strip(c), rebuilt)
 
 
 def mobile_url(
@@ -54,28 +68,27 @@ def mobile_url(
 ) -> Column:
     """Canonical mobile link of a post.
 
-    ``host`` is a regular expression of the blog host, ``mobile_host`` the host to write.
-    A link that is already mobile or has no post number passes through.
+    ``host`` is a regular expression of the blog host without capturing groups,
+    ``mobile_host`` the host to write. A link that is already mobile or has no post number
+    passes through.
     """
     target = mobile_host or "m." + host.replace("\\", "")
-    url = normalize_url(c, keep_keys)
     by_query = rf"{id_keys[0]}=([^&]+).*{id_keys[1]}=(\d+)"
     by_path = rf"(?:{host})/([^/?]+)/(\d+)"
 
-    def link(pattern: str) -> Column:
-        return F.concat(
-            F.lit(f"https://{target}/"),
-            F.regexp_extract(url, pattern, 1),
-            F.lit("/"),
-            F.regexp_extract(url, pattern, 2),
+    def link(url: Column, pattern: str) -> Column:
+        blog, post = (F.regexp_extract(url, pattern, i) for i in (1, 2))
+        return F.concat(F.lit(f"https://{target}/"), blog, F.lit("/"), post)
+
+    def canonical(url: Column) -> Column:
+        return (
+            F.when(url.contains(target), url)
+            .when(url.rlike(by_query), link(url, by_query))
+            .when(url.rlike(by_path), link(url, by_path))
+            .otherwise(url)
         )
 
-    return (
-        F.when(url.contains(target), url)
-        .when(url.rlike(by_query), link(by_query))
-        .when(url.rlike(by_path), link(by_path))
-        .otherwise(url)
-    )
+    return _bind(normalize_url(c, keep_keys), canonical)
 
 
 @F.pandas_udf(T.StringType())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulse.functions.dates import iso_z
+from pulse.functions.dates import instant, iso_z
 from pulse.functions.numbers import plain_double
 
 # Texts of the plain report.
@@ -59,8 +59,7 @@ def filter_reports(
 ) -> DataFrame:
     """Reports at most ``days`` old whose date or title holds the text, in any case."""
     if days is not None:
-        at = F.lit(now) if now is not None else F.current_timestamp()
-        age = at - F.expr(f"INTERVAL {int(days)} DAYS")
+        age = instant(now) - F.expr(f"INTERVAL {int(days)} DAYS")
         reports = reports.filter(F.col("report_date").cast("timestamp") >= age)
     query = query.strip().lower()
     if query:
@@ -177,9 +176,9 @@ def decode(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def latest_snapshot(history: DataFrame, now: datetime | None = None) -> DataFrame:
     """Newest snapshot that has not expired: ``payload``, no row or one."""
-    at = F.lit(now) if now is not None else F.current_timestamp()
-    alive = history.filter(F.col("expires_at").isNull() | (F.col("expires_at") > at))
-    return alive.orderBy(F.col("window_end").desc()).limit(1).select("payload")
+    alive = history.filter(F.col("expires_at").isNull() | (F.col("expires_at") > instant(now)))
+    newest = alive.orderBy(F.col("window_end").desc(), F.col("expires_at").desc())
+    return newest.limit(1).select("payload")
 
 
 def dashboard_latest(

@@ -1,7 +1,8 @@
 """Writing posts, dated tables, snapshots, reports and routed messages.
 
-Tables are parquet folders. Every write replaces whole partitions or appends rows whose key
-is new, so running a job or a micro-batch again leaves the same table.
+Tables are parquet folders. A write replaces whole partitions, appends rows whose key is new,
+or appends rows per window that readers take once per window, so running a job or a
+micro-batch again leaves the same result.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulse.functions.dates import instant
 from pulse.operators.ingest import RAW, first_seen, publish_summary
 from pulse.operators.serve import encode, merge_reports
 from pulse.schema import POST, REPORT
@@ -21,14 +23,12 @@ from pulse.sources.store import materialize, read_or_empty
 # Urls of one batch are broadcast up to this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-WINDOW_KEYS = ["window_day", "window_key"]
 SNAPSHOT_ROW = T.StructType(
     [
         T.StructField("window_end", T.TimestampType()),
         T.StructField("payload", T.StringType()),
         T.StructField("expires_at", T.TimestampType()),
         T.StructField("window_day", T.DateType()),
-        T.StructField("window_key", T.StringType()),
     ]
 )
 
@@ -95,14 +95,10 @@ def land_posts(
     return {"inserted": new, "skipped": seen - new}
 
 
-def with_window_keys(df: DataFrame) -> DataFrame:
-    """Partition columns of window tables: UTC day and minute of the window end."""
-    return df.withColumns(
-        {
-            "window_day": F.to_date("window_end"),
-            "window_key": F.date_format("window_end", "yyyyMMddHHmm"),
-        }
-    )
+def append_windows(df: DataFrame, path: str) -> None:
+    """Add rows, a few per window, under the UTC day of the window end."""
+    dated = df.withColumn("window_day", F.to_date("window_end"))
+    dated.coalesce(1).write.mode("append").partitionBy("window_day").parquet(path)
 
 
 def write_snapshot(
@@ -114,16 +110,15 @@ def write_snapshot(
 ) -> None:
     """Store snapshots by window; the newest one is the current one.
 
-    Writing a window again replaces it. Without a time to live a snapshot never expires.
+    Without a time to live a snapshot never expires.
     """
-    at = F.lit(now) if now is not None else F.current_timestamp()
     expires = F.lit(None).cast("timestamp")
     if ttl_seconds is not None:
-        expires = at + F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
+        expires = instant(now) + F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
     rows = encode(snapshots, "window_end").select(
         "window_end", "payload", expires.alias("expires_at")
     )
-    overwrite_partitions(with_window_keys(rows).coalesce(1), f"{path}/{name}", WINDOW_KEYS)
+    append_windows(rows, f"{path}/{name}")
 
 
 def upsert_reports(new: DataFrame, path: str) -> None:

@@ -3,7 +3,7 @@
 A stream closes ten-minute windows in append mode and hands them to ``foreachBatch``, which
 stores them by window and runs the batch operators over the part of the stored history they
 need: the window before (traffic), the UTC day (top words), the last fired window (rising
-words). Everything is written by window end, so a replayed batch rewrites the same rows.
+words). Stored rows belong to a window end, so a replayed batch leaves the same history.
 
 A window closes when later messages move the watermark past its end, not by wall clock; rows
 that arrive more than the lateness behind are dropped.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,10 +32,9 @@ from pulse.operators.windows import (
 )
 from pulse.schema import StreamParams
 from pulse.sources.sinks import (
-    WINDOW_KEYS,
+    append_windows,
     land_posts,
     overwrite_partitions,
-    with_window_keys,
     write_snapshot,
 )
 from pulse.sources.store import read_or_empty
@@ -43,13 +42,12 @@ from pulse.sources.store import read_or_empty
 ONCE: Mapping[str, bool] = {"availableNow": True}
 EVERY_WINDOW: Mapping[str, str] = {"processingTime": "10 minutes"}
 
-_KEYS = [T.StructField("window_day", T.DateType()), T.StructField("window_key", T.StringType())]
 WINDOW_ROWS = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
         T.StructField("total_posts", T.LongType()),
-        *_KEYS,
+        T.StructField("window_day", T.DateType()),
     ]
 )
 COUNT_ROWS = T.StructType(
@@ -58,15 +56,20 @@ COUNT_ROWS = T.StructType(
         T.StructField("window_end", T.TimestampType()),
         T.StructField("token", T.StringType()),
         T.StructField("cnt", T.LongType()),
-        *_KEYS,
+        T.StructField("window_day", T.DateType()),
+        T.StructField("window_key", T.StringType()),
     ]
 )
+COUNT_KEYS = ["window_day", "window_key"]
 TEN_MINUTES = timedelta(minutes=10)
 
 
 def windows_of(spark: SparkSession, target: str) -> DataFrame:
-    """Stored windows of a job."""
-    return read_or_empty(spark, f"{target}/windows", WINDOW_ROWS)
+    """Stored windows of a job, each once even if a batch was replayed."""
+    rows = read_or_empty(spark, f"{target}/windows", WINDOW_ROWS)
+    return rows.groupBy("window_day", "window_start", "window_end").agg(
+        F.max("total_posts").alias("total_posts")
+    )
 
 
 def counts_of(spark: SparkSession, target: str) -> DataFrame:
@@ -74,29 +77,44 @@ def counts_of(spark: SparkSession, target: str) -> DataFrame:
     return read_or_empty(spark, f"{target}/counts", COUNT_ROWS)
 
 
+def store_counts(counts: DataFrame, target: str) -> None:
+    """Word counts, one folder per window; a replayed batch replaces its windows."""
+    keyed = counts.withColumns(
+        {
+            "window_day": F.to_date("window_end"),
+            "window_key": F.date_format("window_end", "yyyyMMddHHmm"),
+        }
+    )
+    overwrite_partitions(keyed.hint("rebalance", "window_key"), f"{target}/counts", COUNT_KEYS)
+
+
+def _at(when: datetime) -> Column:
+    return F.lit(f"{when:%Y-%m-%d %H:%M:%S}").cast("timestamp")
+
+
 def _since(df: DataFrame, first: datetime, last: datetime) -> DataFrame:
-    """History rows from window end ``first`` to ``last``, other days pruned."""
-    return df.filter(
-        F.col("window_day").between(F.lit(first.date()), F.lit(last.date()))
-        & F.col("window_key").between(f"{first:%Y%m%d%H%M}", f"{last:%Y%m%d%H%M}")
-    ).drop(*WINDOW_KEYS)
+    """History rows from window end ``first`` to ``last``, other folders pruned."""
+    inside = F.col("window_end").between(_at(first), _at(last))
+    inside &= F.col("window_day").between(F.lit(first.date()), F.lit(last.date()))
+    if "window_key" in df.columns:
+        inside &= F.col("window_key").between(f"{first:%Y%m%d%H%M}", f"{last:%Y%m%d%H%M}")
+    return df.filter(inside).drop(*COUNT_KEYS)
+
+
+def _utc(c: Column) -> Column:
+    return F.date_format(c, "yyyyMMddHHmm")
 
 
 def _span(windows: DataFrame) -> tuple[datetime, datetime] | None:
     """First and last window end of a batch as UTC wall time; None without windows."""
     ends = windows.agg(
-        F.date_format(F.min("window_end"), "yyyyMMddHHmm").alias("a"),
-        F.date_format(F.max("window_end"), "yyyyMMddHHmm").alias("b"),
+        _utc(F.min("window_end")).alias("a"), _utc(F.max("window_end")).alias("b")
     ).first()
     if ends["a"] is None:
         return None
     return tuple(datetime.strptime(ends[k], "%Y%m%d%H%M") for k in ("a", "b"))
 
 
-def _store(df: DataFrame, path: str) -> None:
-    overwrite_partitions(with_window_keys(df).hint("rebalance", "window_key"), path, WINDOW_KEYS)
-
-
 def _start(
     closed: DataFrame,
     each: Callable[[DataFrame, int], None],
@@ -119,7 +137,7 @@ def close_traffic(batch: DataFrame, target: str) -> None:
         span = _span(rows)
         if span is None:
             return
-        _store(rows, f"{target}/windows")
+        append_windows(rows, f"{target}/windows")
     finally:
         rows.unpersist()
     first, last = span
@@ -146,8 +164,8 @@ def close_tokens(
         span = _span(windows)
         if span is None:
             return
-        _store(counts, f"{target}/counts")
-        _store(windows, f"{target}/windows")
+        store_counts(counts, target)
+        append_windows(windows, f"{target}/windows")
     finally:
         rows.unpersist()
     first, last = span
@@ -159,8 +177,8 @@ def close_tokens(
             top_snapshot(ranked, closed, params.top_n), target, "top", params.ttl_seconds
         )
     if rising:
-        before = windows_of(spark, target).filter(F.col("window_key") < f"{first:%Y%m%d%H%M}")
-        back = before.agg(F.max("window_key").alias("k")).first()["k"]
+        before = windows_of(spark, target).filter(F.col("window_end") < _at(first))
+        back = before.agg(_utc(F.max("window_end")).alias("k")).first()["k"]
         start = datetime.strptime(back, "%Y%m%d%H%M") if back else first
         near = _since(windows_of(spark, target), start, last)
         risen = rising_tokens(
