@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.functions.dates import instant
+from pulse.sources.readers import spread
 
 RUN_DATE = date(2024, 1, 7)
 NOW = datetime(2024, 2, 4)
@@ -20,16 +21,18 @@ KEEP_KEYS = ("page", "ref")
 AT = "2024-01-08T00:00:00+00:00"
 STOPWORDS = ("the", "and", "les", "der", "오늘")
 EXTRA_SECONDS = 30
+TEXT_TABLES = ("documents", "pages")
 POST_URL = "https://blog.example.com/p/"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a stream; the pattern fits a single file as well as a folder."""
-    schema = table(spark, sf_dir, name).schema
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
