@@ -32,8 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a stream; the pattern fits a single file as well as a folder."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    stored = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    stream = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return spread(stream, stored) if name in TEXT_TABLES else stream
 
 
 def messages_from(documents: DataFrame) -> DataFrame:

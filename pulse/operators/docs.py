@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.dates import local_date
-from pulse.functions.text import clean_text, distinct_tokens, filter_tokens, tokens_batch
+from pulse.functions.text import (
+    clean_text,
+    distinct_tokens,
+    filter_tokens,
+    has_words,
+    tokens_batch,
+)
 
 
 def process_dates(run_date: date, days: int, rebuild: bool) -> list[date]:
@@ -69,10 +75,9 @@ def cleaned_docs(
     docs = with_doc_id(with_doc_date(posts, discovered_is_utc, tz))
     if dates is not None:
         docs = filter_dates(docs, dates)
-    docs = docs.withColumn(
-        "cleaned_text", clean_text(F.col("title"), F.col("content_text"), as_written)
-    )
-    return docs.filter(F.length("cleaned_text") > 0).select(
+    texts = F.col("title"), F.col("content_text")
+    docs = docs.filter(has_words(*texts, as_written))
+    return docs.withColumn("cleaned_text", clean_text(*texts, as_written)).select(
         "doc_id",
         "url",
         "doc_date",

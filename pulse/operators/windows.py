@@ -98,25 +98,33 @@ def first_per_window(
     return windowed(messages, duration).groupBy("w", "url").agg(best).select("w", "url", "first.*")
 
 
-def window_token_rows(messages: DataFrame, params: StreamParams = StreamParams()) -> DataFrame:
-    """Posts and words per window in one aggregate, the same plan in batch and stream.
+def post_tokens(messages: DataFrame, params: StreamParams = StreamParams()) -> DataFrame:
+    """``w, url, tokens``: the distinct words of each post that arrived first in its window.
 
-    Texts become at most ``token_cap`` words before the first shuffle, so what is moved per
-    post is bounded whatever the post length. The row with the empty word carries the number
-    of posts and is 0 for a window that holds undecodable messages only.
+    Texts become at most ``token_cap`` words before the shuffle, so what is moved per post is
+    bounded whatever its length. The row with a null url stands for undecodable messages.
     """
     words = tokens_stream(
         F.col("title"), F.col("content_text"), params.stopwords, params.token_cap
     )
+    url = F.nullif("url", F.lit(""))
     slim = messages.select(
         "ts",
         "msg_id",
-        F.nullif("url", F.lit("")).alias("url"),
-        F.when(F.nullif("url", F.lit("")).isNotNull(), distinct_tokens(words)).alias("tokens"),
+        url.alias("url"),
+        F.when(url.isNotNull(), distinct_tokens(words)).alias("tokens"),
     )
-    firsts = first_per_window(slim, ["tokens"], duration=params.window)
+    return first_per_window(slim, ["tokens"], duration=params.window)
+
+
+def token_rows(posts: DataFrame) -> DataFrame:
+    """Posts per window and word out of :func:`post_tokens`.
+
+    The row with the empty word carries the number of posts and is 0 for a window that holds
+    undecodable messages only.
+    """
     no_words = F.array().cast("array<string>")
-    rows = firsts.select(
+    rows = posts.select(
         "w",
         F.col("url").isNotNull().cast("long").alias("one"),
         F.explode(
@@ -127,6 +135,11 @@ def window_token_rows(messages: DataFrame, params: StreamParams = StreamParams()
     return _bounds(counted, "token", "cnt")
 
 
+def window_token_rows(messages: DataFrame, params: StreamParams = StreamParams()) -> DataFrame:
+    """Posts per window and word, with the number of posts under the empty word."""
+    return token_rows(post_tokens(messages, params))
+
+
 def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Word counts and fired windows out of :func:`window_token_rows`."""
     counts = rows.filter(F.col("token") != "")

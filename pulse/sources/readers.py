@@ -84,14 +84,15 @@ def read_posts(
     return reader.load(path) if path is not None else reader.load()
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Deal a table of fewer files than cores out to all of them.
 
     A file may be one row group, and a row group is one task, which would then do all the
-    text work alone. Tables of many files are left as they are.
+    text work alone. Tables of many files are left as they are. ``stored`` is the table
+    behind a stream, which cannot list its files itself.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if len((stored or df).inputFiles()) < cores else df
 
 
 def read_token_stats(stats: DataFrame, run_date: date, window_days: int = 7) -> DataFrame:

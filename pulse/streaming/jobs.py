@@ -21,14 +21,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulse.operators.ingest import to_stored_post
 from pulse.operators.windows import (
+    post_tokens,
     rising_snapshot,
     rising_tokens,
     split_rows,
+    token_rows,
     top_snapshot,
     top_tokens,
     traffic_counts,
     traffic_summary,
-    window_token_rows,
 )
 from pulse.schema import StreamParams
 from pulse.sources.sinks import (
@@ -156,9 +157,13 @@ def close_traffic(batch: DataFrame, target: str) -> None:
 def close_tokens(
     batch: DataFrame, target: str, params: StreamParams, top: bool = True, rising: bool = True
 ) -> None:
-    """Store closed word windows, then the top and rising snapshots of those windows."""
+    """Count the words of closed windows, store them, then the snapshots of those windows.
+
+    All posts of a window arrive in the batch that closes it, so counting its words needs no
+    state of its own.
+    """
     spark = batch.sparkSession
-    rows = batch.persist()  # the stream's plan runs once
+    rows = token_rows(batch).persist()  # the stream's plan runs once
     try:
         counts, windows = split_rows(rows)
         span = _span(windows)
@@ -215,7 +220,7 @@ def run_trends(
     rising: bool = True,
 ) -> StreamingQuery:
     """Top and rising words from one pass over the messages."""
-    closed = window_token_rows(messages.withWatermark("ts", params.lateness), params)
+    closed = post_tokens(messages.withWatermark("ts", params.lateness), params)
     return _start(
         closed, lambda df, _: close_tokens(df, target, params, top, rising), checkpoint, trigger
     )
