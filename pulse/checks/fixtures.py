@@ -14,6 +14,7 @@ from pulse.functions.dates import instant
 from pulse.sources.readers import spread
 
 RUN_DATE = date(2024, 1, 7)
+NEXT_DATE = date(2024, 1, 8)
 NOW = datetime(2024, 2, 4)
 HOST = r"example\.(?:com|net|org)"
 MOBILE_HOST = "m.example.com"

@@ -18,7 +18,14 @@ from pulse.functions.text import distinct_tokens, filter_tokens, split_tokens, t
 from pulse.functions.urls import mobile_url, normalize_url, plain_title
 from pulse.operators import docs, forecast, ingest, pages, serve, windows
 from pulse.plans import collect, daily, trends
-from pulse.schema import RISING_SNAPSHOT, TOP_SNAPSHOT, TRAFFIC_SNAPSHOT, DailyParams, StreamParams
+from pulse.schema import (
+    PREDICTION,
+    RISING_SNAPSHOT,
+    TOP_SNAPSHOT,
+    TRAFFIC_SNAPSHOT,
+    DailyParams,
+    StreamParams,
+)
 from pulse.sources.readers import read_token_stats
 from pulse.sources.sinks import SNAPSHOT_ROW
 from pulse.sources.store import read_or_empty, scratch
@@ -373,9 +380,13 @@ def inference_rows(spark, sf_dir):
 
 @query
 def predictions_ridge(spark, sf_dir):
-    return daily.forecast_posts(
+    """The whole daily job, from posts to the best predictions."""
+    best = daily.forecast_posts(
         fx.daily_posts(spark, sf_dir), fx.RUN_DATE, DailyParams(stopwords=fx.STOPWORDS)
     )
+    return best.withColumns(
+        {c: F.round(c, 5) for c in ("predicted_count", "score", "burst")}
+    )
 
 
 # Ingest -------------------------------------------------------------------------------------
@@ -575,12 +586,12 @@ def retry_merge(spark, sf_dir):
 
 @query
 def predictions_for_date(spark, sf_dir):
-    return serve.predictions_for(_predictions(spark, sf_dir), forecast.timedelta(1) + fx.RUN_DATE, 20)
+    return serve.predictions_for(_predictions(spark, sf_dir), fx.NEXT_DATE, 20)
 
 
 @query
 def report_daily(spark, sf_dir):
-    return serve.daily_report(_predictions(spark, sf_dir), forecast.timedelta(1) + fx.RUN_DATE)
+    return serve.daily_report(_predictions(spark, sf_dir), fx.NEXT_DATE)
 
 
 @query
@@ -591,7 +602,20 @@ def report_keywords(spark, sf_dir):
 
 @query
 def report_payload(spark, sf_dir):
-    return serve.report_payload(_predictions(spark, sf_dir), forecast.timedelta(1) + fx.RUN_DATE, 30)
+    """The payload decoded again, one row per item."""
+    payload = serve.report_payload(_predictions(spark, sf_dir), fx.NEXT_DATE, 30)
+    item = T.StructType([f for f in PREDICTION.fields if f.name != "predict_date"])
+    schema = T.StructType(
+        [
+            T.StructField("report_date", T.StringType()),
+            T.StructField("top_n", T.IntegerType()),
+            T.StructField("items", T.ArrayType(item)),
+        ]
+    )
+    body = payload.select(F.from_json("payload", schema).alias("p"))
+    return body.select("p.report_date", "p.top_n", F.posexplode("p.items").alias("place", "i")).select(
+        "report_date", "top_n", "place", "i.*"
+    )
 
 
 @query

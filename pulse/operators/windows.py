@@ -213,28 +213,34 @@ def cumulative_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def top_tokens(counts: DataFrame, windows: DataFrame, n: int = 20) -> DataFrame:
+def top_tokens(
+    counts: DataFrame, windows: DataFrame, n: int = 20, duration: str = TEN_MINUTES
+) -> DataFrame:
     """Top words of every fired window by count since UTC midnight.
 
     A word also ranks in windows where it does not occur. Its running count holds until it
     occurs again, and no word that is outside the first n among the words of its own window
     can be among the first n later on while it stays unchanged: the n words before it only
-    grow. So the first n of each window by running count, each valid until ``next_end``, are
-    all that can appear, and only those (n per window) meet the windows of their day.
+    grow. So the first n of each window by running count, each held until ``next_end``, are
+    all that can appear. Only those are written out for the windows they hold in, at most n
+    for each pair of windows of a day however many words there are.
     """
-    changed = top_n(cumulative_counts(counts), n, [F.col("cum").desc(), F.col("token").asc()])
-    holding = changed.select(
-        "utc_day", "token", "cum", "cnt", "next_end", F.col("window_end").alias("since")
-    )
-    fired = windows.withColumn("utc_day", F.to_date("window_end"))
-    held = fired.join(holding, "utc_day").filter(
-        (F.col("since") <= F.col("window_end"))
-        & (F.col("next_end").isNull() | (F.col("window_end") < F.col("next_end")))
+    order = [F.col("cum").desc(), F.col("token").asc()]
+    changed = top_n(cumulative_counts(counts), n, order)
+    midnight = F.date_add("utc_day", 1).cast("timestamp")
+    until = F.least("next_end", midnight) - F.expr("INTERVAL 1 MICROSECOND")
+    held_in = F.sequence("window_end", until, F.expr(f"INTERVAL {duration}"))
+    held = changed.select(
+        "token",
+        "cum",
+        "cnt",
+        F.col("window_end").alias("since"),
+        F.explode(held_in).alias("window_end"),
     )
-    ranked = top_n(held, n, [F.col("cum").desc(), F.col("token").asc()])
     here = F.when(F.col("since") == F.col("window_end"), F.col("cnt")).otherwise(
         F.lit(0).cast("long")
     )
+    ranked = top_n(held.join(windows, "window_end"), n, order)
     return _top_columns(ranked.withColumn("here", here))
 
 

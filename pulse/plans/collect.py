@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from pulse.functions.urls import KEEP_KEYS
 from pulse.operators.ingest import (
+    RAW,
     assemble_posts,
     discover_items,
     first_n,
@@ -53,5 +53,6 @@ def publish(
     """Route and send posts and failures; fail when there are posts but none was sent."""
     routed = route_posts(posts, at).unionByName(route_failures(failures, at))
     sent = write_routed(routed, fmt, path, options)
-    check_published(sent, posts.agg(F.count(F.lit(1))).first()[0])
+    if sent[RAW] == 0:
+        check_published(sent, posts.count())
     return sent

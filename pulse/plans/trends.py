@@ -27,7 +27,7 @@ def window_top(messages: DataFrame, p: StreamParams = StreamParams()) -> DataFra
 
 def top(messages: DataFrame, p: StreamParams = StreamParams()) -> DataFrame:
     counts, windows = window_token_counts(messages, p), window_posts(messages, p.window)
-    return top_tokens(counts, windows, p.top_n)
+    return top_tokens(counts, windows, p.top_n, p.window)
 
 
 def top_latest(messages: DataFrame, p: StreamParams = StreamParams()) -> DataFrame:

@@ -96,9 +96,12 @@ def land_posts(
 
 
 def append_windows(df: DataFrame, path: str) -> None:
-    """Add rows, a few per window, under the UTC day of the window end."""
+    """Add rows, a few per window, under the UTC day of the window end.
+
+    They are gathered by a shuffle, so whatever they were filtered from stays spread out.
+    """
     dated = df.withColumn("window_day", F.to_date("window_end"))
-    dated.coalesce(1).write.mode("append").partitionBy("window_day").parquet(path)
+    dated.repartition(1).write.mode("append").partitionBy("window_day").parquet(path)
 
 
 def write_snapshot(

@@ -28,6 +28,7 @@ from pulse.operators.windows import (
     token_rows,
     top_snapshot,
     top_tokens,
+    top_tokens_latest,
     traffic_counts,
     traffic_summary,
 )
@@ -177,7 +178,11 @@ def close_tokens(
     closed = _since(windows_of(spark, target), first, last)
     if top:
         day = first.replace(hour=0, minute=0)
-        ranked = top_tokens(_since(counts_of(spark, target), day, last), closed, params.top_n)
+        counts = _since(counts_of(spark, target), day, last)
+        if first == last:  # the usual case, without ranking the windows before
+            ranked = top_tokens_latest(counts, closed, params.top_n)
+        else:
+            ranked = top_tokens(counts, closed, params.top_n, params.window)
         write_snapshot(
             top_snapshot(ranked, closed, params.top_n), target, "top", params.ttl_seconds
         )
