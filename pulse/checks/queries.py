@@ -28,7 +28,7 @@ from pulse.schema import (
 )
 from pulse.sources.readers import read_token_stats
 from pulse.sources.sinks import SNAPSHOT_ROW
-from pulse.sources.store import read_or_empty, scratch
+from pulse.sources.store import materialize, read_or_empty, scratch
 from pulse.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,9 +164,7 @@ def rising_tokens(spark, sf_dir):
 
 @query
 def rising_tokens_latest(spark, sf_dir):
-    risen = trends.rising(fx.messages(spark, sf_dir), PARAMS)
-    last = _windows(spark, sf_dir).agg(F.max("window_end").alias("window_end"))
-    return risen.join(F.broadcast(last), "window_end", "left_semi")  # one row
+    return trends.rising_latest(fx.messages(spark, sf_dir), PARAMS)
 
 
 @query
@@ -297,7 +295,7 @@ def token_candidates(spark, sf_dir):
 
 @query
 def stats_window_candidates(spark, sf_dir):
-    stats = _stats(spark, sf_dir)
+    stats = materialize(_stats(spark, sf_dir))  # a stored table in the daily job
     return forecast.narrow_to_candidates(stats, forecast.candidate_tokens(stats, fx.RUN_DATE))
 
 
@@ -644,13 +642,17 @@ def report_filter(spark, sf_dir):
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    closed = _windows(spark, sf_dir)
-    traffic = windows.traffic_summary(windows.traffic_counts(fx.messages(spark, sf_dir))).select(
-        *TRAFFIC_SNAPSHOT.names
+    """Snapshots of every window; the words are counted once for both rankings."""
+    rows = materialize(windows.window_token_rows(fx.messages(spark, sf_dir), PARAMS))
+    counts, closed = windows.split_rows(rows)
+    traffic = windows.traffic_summary(windows.traffic_counts(fx.messages(spark, sf_dir)))
+    top = windows.top_tokens(counts, closed)
+    risen = windows.rising_tokens(counts, closed)
+    return (
+        traffic.select(*TRAFFIC_SNAPSHOT.names),
+        windows.top_snapshot(top, closed),
+        windows.rising_snapshot(risen, closed),
     )
-    top = windows.top_snapshot(trends.top(fx.messages(spark, sf_dir), PARAMS), closed)
-    risen = windows.rising_snapshot(trends.rising(fx.messages(spark, sf_dir), PARAMS), closed)
-    return traffic, top, risen
 
 
 def _top_items(snapshots: DataFrame) -> DataFrame:

@@ -391,6 +391,17 @@ def rising_tokens(
     return _rising_columns(pairs(counts, windows), n, min_count, min_delta)
 
 
+def rising_tokens_latest(
+    counts: DataFrame, windows: DataFrame, n: int = 20, min_count: int = 5, min_delta: int = 3
+) -> DataFrame:
+    """Rising words of the last fired window, from the counts of two windows only."""
+    last = fired_windows(windows).orderBy(F.col("window_end").desc()).limit(2)
+    near = counts.join(F.broadcast(last.select("window_end")), "window_end", "left_semi")  # 2 rows
+    newest = last.orderBy(F.col("window_end").desc()).limit(1).select("window_end")
+    risen = rising_tokens(near, last.drop("prev_end"), n, min_count, min_delta)
+    return risen.join(F.broadcast(newest), "window_end", "left_semi")  # 1 row
+
+
 def top_snapshot(top: DataFrame, windows: DataFrame, n: int = 20) -> DataFrame:
     """Nested form of :func:`top_tokens`, one row per fired window."""
     return _snapshot(

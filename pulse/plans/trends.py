@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from pulse.operators.windows import (
     rising_tokens,
+    rising_tokens_latest,
     top_tokens,
     top_tokens_latest,
     traffic_counts,
@@ -38,3 +39,8 @@ def top_latest(messages: DataFrame, p: StreamParams = StreamParams()) -> DataFra
 def rising(messages: DataFrame, p: StreamParams = StreamParams()) -> DataFrame:
     counts, windows = window_token_counts(messages, p), window_posts(messages, p.window)
     return rising_tokens(counts, windows, p.top_n, p.min_count, p.min_delta)
+
+
+def rising_latest(messages: DataFrame, p: StreamParams = StreamParams()) -> DataFrame:
+    counts, windows = window_token_counts(messages, p), window_posts(messages, p.window)
+    return rising_tokens_latest(counts, windows, p.top_n, p.min_count, p.min_delta)

@@ -117,6 +117,17 @@ def _span(windows: DataFrame) -> tuple[datetime, datetime] | None:
     return tuple(datetime.strptime(ends[k], "%Y%m%d%H%M") for k in ("a", "b"))
 
 
+def _fired_before(spark: SparkSession, target: str, first: datetime) -> datetime | None:
+    """End of the last stored window before ``first``, looked for in recent days first."""
+    earlier = windows_of(spark, target).filter(F.col("window_end") < _at(first))
+    recent = F.col("window_day") >= F.lit((first - timedelta(days=1)).date())
+    for rows in (earlier.filter(recent), earlier):
+        span = _span(rows)
+        if span is not None:
+            return span[1]
+    return None
+
+
 def _start(
     closed: DataFrame,
     each: Callable[[DataFrame, int], None],
@@ -187,9 +198,7 @@ def close_tokens(
             top_snapshot(ranked, closed, params.top_n), target, "top", params.ttl_seconds
         )
     if rising:
-        before = windows_of(spark, target).filter(F.col("window_end") < _at(first))
-        back = before.agg(_utc(F.max("window_end")).alias("k")).first()["k"]
-        start = datetime.strptime(back, "%Y%m%d%H%M") if back else first
+        start = _fired_before(spark, target, first) or first
         near = _since(windows_of(spark, target), start, last)
         risen = rising_tokens(
             _since(counts_of(spark, target), start, last),
