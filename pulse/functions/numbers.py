@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Labels where no rate exists, and the parts of the traffic summary.
+LABEL_NONE, LABEL_NEW = "—", "NEW"
+THIS_WINDOW, WINDOW_BEFORE, POSTS = "최근10분 ", "직전10분 ", "건"
+UNCHANGED, NO_TRAFFIC, NEW_TRAFFIC = "±0", "(변동 없음)", "(신규 유입)"
+
 
 def share(count: Column, total: Column) -> Column:
     """Part of all posts; 0 when there were none."""
@@ -18,7 +23,7 @@ def rate(cur: Column, prev: Column) -> Column:
 
 def change_label(count: Column, prev: Column) -> Column:
     """Text shown where no rate exists."""
-    return F.when(prev > 0, F.lit(None).cast("string")).when(count == 0, "—").otherwise("NEW")
+    return F.when(prev > 0, F.lit(None).cast("string")).when(count == 0, LABEL_NONE).otherwise(LABEL_NEW)
 
 
 def sigmoid(c: Column) -> Column:
@@ -68,25 +73,22 @@ def plain_double(c: Column) -> Column:
 def traffic_text(cur: Column, prev: Column) -> Column:
     """One-line comparison of this window with the one before."""
     delta = cur - prev
-    pct = rate(cur, prev) * F.lit(100.0)
-    signed = F.when(delta > 0, F.concat(F.lit("+"), delta.cast("string"))).when(
-        delta < 0, delta.cast("string")
-    ).otherwise("±0")
+    signed = F.when(delta == 0, UNCHANGED).otherwise(
+        F.concat(F.when(delta > 0, "+").otherwise(""), delta.cast("string"))
+    )
+    percent = F.format_string("%.1f", F.abs(round_exact(rate(cur, prev) * F.lit(100.0), 1)))
     note = (
         F.when(
             prev > 0,
-            F.concat(
-                F.lit("("),
-                F.when(delta < 0, "-").otherwise("+"),
-                F.format_string("%.1f", F.abs(round_exact(pct, 1))),
-                F.lit("%)"),
-            ),
+            F.concat(F.lit("("), F.when(delta < 0, "-").otherwise("+"), percent, F.lit("%)")),
         )
-        .when(cur == 0, "(변동 없음)")
-        .otherwise("(신규 유입)")
+        .when(cur == 0, NO_TRAFFIC)
+        .otherwise(NEW_TRAFFIC)
     )
-    return F.concat(
-        F.lit("최근10분 "), cur.cast("string"),
-        F.lit("건 | 직전10분 "), prev.cast("string"),
-        F.lit("건 | "), signed, F.lit(" "), note,
+    return F.concat_ws(
+        " ",
+        F.concat(F.lit(THIS_WINDOW), cur.cast("string"), F.lit(f"{POSTS} |")),
+        F.concat(F.lit(WINDOW_BEFORE), prev.cast("string"), F.lit(f"{POSTS} |")),
+        signed,
+        note,
     )

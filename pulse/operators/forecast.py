@@ -26,6 +26,10 @@ FEATURES = [
     "doc_growth",
     "repeat_ratio",
 ]
+# Days that make a word stable, and how the burst score is mixed and bounded.
+STABLE_DAYS = 4
+GROWTH_PART, JUMP_PART = 0.7, 0.3
+JUMP_MIN, JUMP_MAX = -3.0, 6.0
 # Both are 0 in every training row, so their weight is 0 and the fit is the same without.
 UNSEEN = ("count_lag6", "doc_lag6")
 
@@ -109,7 +113,7 @@ def with_status(features: DataFrame, p: PredictParams = PredictParams()) -> Data
     burst = (F.col("growth_ratio") >= p.growth_ratio_min) & (F.col("prev_mean") <= p.prev_mean_max)
     return features.withColumn(
         "status",
-        F.when(F.col("non_zero_days") >= 4, "stable").when(burst, "burst").otherwise("uncertain"),
+        F.when(F.col("non_zero_days") >= STABLE_DAYS, "stable").when(burst, "burst").otherwise("uncertain"),
     )
 
 
@@ -117,7 +121,9 @@ def with_burst(features: DataFrame) -> DataFrame:
     """Jump against the days before, mixed with growth since yesterday."""
     jump = (F.col("c0") - F.col("prev_mean")) / (F.col("prev_std") + 1.0)
     growth = F.log((F.col("c0") + 1.0) / (F.col("c1") + 1.0))
-    return features.withColumn("burst", 0.7 * growth + 0.3 * clip(jump, -3.0, 6.0))
+    return features.withColumn(
+        "burst", GROWTH_PART * growth + JUMP_PART * clip(jump, JUMP_MIN, JUMP_MAX)
+    )
 
 
 def candidates(

@@ -399,7 +399,8 @@ def rising_tokens_latest(
     near = counts.join(F.broadcast(last.select("window_end")), "window_end", "left_semi")  # 2 rows
     newest = last.orderBy(F.col("window_end").desc()).limit(1).select("window_end")
     risen = rising_tokens(near, last.drop("prev_end"), n, min_count, min_delta)
-    return risen.join(F.broadcast(newest), "window_end", "left_semi")  # 1 row
+    kept = risen.join(F.broadcast(newest), "window_end", "left_semi")  # 1 row
+    return kept.select(*risen.columns)
 
 
 def top_snapshot(top: DataFrame, windows: DataFrame, n: int = 20) -> DataFrame:

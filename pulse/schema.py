@@ -9,6 +9,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from pulse.functions.text import DEFAULT_STOPWORDS
+
 
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -147,6 +149,9 @@ SNAPSHOT_SCHEMAS = {
 SERIES_DAYS = 7
 
 
+# The defaults of the three settings classes.
+
+
 @dataclass(frozen=True)
 class StreamParams:
     """Settings of the ten-minute window jobs."""
@@ -157,7 +162,7 @@ class StreamParams:
     min_count: int = 5
     min_delta: int = 3
     token_cap: int = 300
-    stopwords: tuple[str, ...] = ()
+    stopwords: tuple[str, ...] = DEFAULT_STOPWORDS
     ttl_seconds: int = 86400
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse.functions.text import DEFAULT_STOPWORDS
-from pulse.operators.serve import decode, latest_snapshot
+from pulse.operators.serve import dashboard_latest, decode, latest_snapshot
 from pulse.schema import FAILURE, POST_MESSAGE, SNAPSHOT_SCHEMAS
 from pulse.sources.sinks import SNAPSHOT_ROW
 from pulse.sources.store import read_or_empty
@@ -33,20 +33,28 @@ def read_posts_stream(
     fmt: str = "kafka",
     options: Mapping[str, str] | None = None,
     from_start: bool = False,
+    processing_time: bool = False,
 ) -> DataFrame:
     """Stream of ``value, ts, msg_id``: message text, arrival time, and arrival order.
 
-    Any file format with these three columns takes the place of the broker.
+    Any file format with these three columns takes the place of the broker. With
+    ``processing_time`` the time of the micro-batch replaces the arrival time.
     """
     reader = spark.readStream.format(fmt).options(**(options or {}))
-    if fmt != "kafka":
-        return reader.schema(MESSAGE_ROW).load()
-    reader = reader.option("startingOffsets", "earliest" if from_start else "latest")
-    return reader.load().select(
-        F.col("value").cast("string").alias("value"),
-        F.col("timestamp").alias("ts"),
-        F.struct("partition", "offset").alias("msg_id"),
-    )
+    if fmt == "kafka":
+        start = "earliest" if from_start else "latest"
+        stream = (
+            reader.option("startingOffsets", start)
+            .load()
+            .select(
+                F.col("value").cast("string").alias("value"),
+                F.col("timestamp").alias("ts"),
+                F.struct("partition", "offset").alias("msg_id"),
+            )
+        )
+    else:
+        stream = reader.schema(MESSAGE_ROW).load()
+    return stream.withColumn("ts", F.current_timestamp()) if processing_time else stream
 
 
 def jdbc_options(
@@ -151,6 +159,14 @@ def read_snapshot(
     return decode(latest_snapshot(history, now), SNAPSHOT_SCHEMAS[name])
 
 
+def read_dashboard(
+    spark: SparkSession, path: str, now: datetime | None = None, limit: int | None = None
+) -> DataFrame:
+    """The latest stored snapshots side by side; no row when there is none."""
+    parts = [read_snapshot(spark, path, name, now) for name in ("traffic", "top", "rising")]
+    return dashboard_latest(*parts, limit=limit)
+
+
 def read_crawl_result(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Posts and failures of an earlier crawl, each file one JSON object with both lists."""
     schema = T.StructType(

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from pulse.operators import windows as w
 from pulse.operators.ingest import dead_letters, decode_messages, decode_posts
+from pulse.operators.serve import decode, encode
 from pulse.schema import POST, RISING_SNAPSHOT, TOP_SNAPSHOT, TRAFFIC_SNAPSHOT, StreamParams
-from pulse.operators.serve import decode
-from pulse.sources.readers import MESSAGE_ROW, read_posts_stream, read_snapshot
+from pulse.sources.readers import MESSAGE_ROW, read_dashboard, read_posts_stream, read_snapshot
 from pulse.sources.sinks import SNAPSHOT_ROW
 from pulse.sources.store import read_or_empty
 from pulse.streaming import jobs
@@ -57,8 +57,6 @@ def expected(spark, rows, closed_before):
     closed = windows.filter(F.col("window_end") <= F.lit(closed_before))
     top = w.top_snapshot(w.top_tokens(counts, windows, 3), closed, 3)
     risen = w.rising_snapshot(w.rising_tokens(counts, windows, 3, 2, 1), closed, 3)
-    from pulse.operators.serve import encode
-
     return tuple(
         [tuple(r) for r in decode(encode(df), schema).orderBy("window_end").collect()]
         for df, schema in ((top, TOP_SNAPSHOT), (risen, RISING_SNAPSHOT))
@@ -87,6 +85,32 @@ def test_trends_over_a_restart_equal_the_batch_result(spark, tmp_path):
     assert history(spark, target, "top", TOP_SNAPSHOT) == top
 
 
+def test_dashboard_of_stored_snapshots(spark, tmp_path):
+    target = str(tmp_path)
+    assert read_dashboard(spark, target).collect() == []
+    jobs.close_tokens(w.post_tokens(batch_rows(spark, FIRST), PARAMS), target, PARAMS)
+    jobs.close_traffic(w.traffic_counts(batch_rows(spark, FIRST)), target)
+    row = read_dashboard(spark, target, limit=1).first()
+    assert row["traffic"]["total_posts"] == 3 and row["top"]["total_posts"] == 3
+    assert [i["token"] for i in row["top"]["items"]] == ["spark"]
+    assert len(row["rising"]["items"]) == 1
+    later = datetime.now(UTC) + timedelta(days=2)
+    row = read_dashboard(spark, target, later).first()
+    assert row["traffic"] is not None and row["top"] is None and row["rising"] is None
+
+
+def test_processing_time_puts_old_messages_in_the_present(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write(spark, source, FIRST)
+    stream = read_posts_stream(spark, "parquet", {"path": source}, processing_time=True)
+    query = (
+        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+        .trigger(availableNow=True).start(out)
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(out).filter("ts > current_timestamp() - INTERVAL 1 HOUR").count() == len(FIRST)
+
+
 def test_a_replayed_batch_leaves_the_same_history(spark, tmp_path):
     target = str(tmp_path)
     posts = w.post_tokens(batch_rows(spark, FIRST), PARAMS)

@@ -144,6 +144,16 @@ def test_latest_top_equals_the_last_window_of_the_history(spark):
     assert sorted(w.top_tokens_latest(counts, windows, 7).collect()) == sorted(last.collect())
 
 
+def test_latest_rising_equals_the_last_window_of_the_history(spark):
+    rows = random_rows(9)[:-2]
+    messages = frame(spark, rows)
+    counts, windows = w.window_token_counts(messages), w.window_posts(messages)
+    history = w.rising_tokens(counts, windows, 7, 1, 0)
+    last = history.filter(F.col("window_end") == windows.agg(F.max("window_end")).first()[0])
+    got = sorted(w.rising_tokens_latest(counts, windows, 7, 1, 0).collect())
+    assert got == sorted(last.collect()) and got
+
+
 def test_undecodable_only_window_fires_and_clears(spark):
     rows = [(START, f"u{i}", "word") for i in range(6)]
     rows.append((START + 10 * MIN, None, ""))
