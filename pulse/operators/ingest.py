@@ -87,7 +87,10 @@ def _now() -> Column:
 
 
 def route_posts(posts: DataFrame, at: Column | None = None) -> DataFrame:
-    """``topic, key, value``: every post raw, then cleaned or error, in one read of the input."""
+    """``topic, key, value``: every post raw, then cleaned or error, in one read of the input.
+
+    The key is the url, null when empty.
+    """
     checked = validate_posts(posts)
     raw = F.struct(*[F.col(c) for c in POST_MESSAGE.names])
     cleaned = F.struct(
@@ -105,7 +108,7 @@ def route_posts(posts: DataFrame, at: Column | None = None) -> DataFrame:
     second = second.otherwise(F.struct(F.lit(CLEANED).alias("topic"), _json(cleaned).alias("value")))
     first = F.struct(F.lit(RAW).alias("topic"), _json(raw).alias("value"))
     return checked.select(
-        F.col("url").alias("key"), F.explode(F.array(first, second)).alias("out")
+        F.nullif("url", F.lit("")).alias("key"), F.explode(F.array(first, second)).alias("out")
     ).select("out.topic", "key", "out.value")
 
 

@@ -96,11 +96,15 @@ def spread(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Deal a table of fewer files than cores out to all of them.
 
     A file may be one row group, and a row group is one task, which would then do all the
-    text work alone. Tables of many files are left as they are. ``stored`` is the table
-    behind a stream, which cannot list its files itself.
+    text work alone. A table that already splits into several tasks per core is left as it is
+    without listing its files. ``stored`` is the table behind a stream, which cannot list its
+    files itself.
     """
+    source = stored or df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len((stored or df).inputFiles()) < cores else df
+    if source.rdd.getNumPartitions() > 4 * cores or len(source.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def read_token_stats(stats: DataFrame, run_date: date, window_days: int = 7) -> DataFrame:
