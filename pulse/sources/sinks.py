@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse.functions.dates import instant
-from pulse.operators.ingest import RAW, first_seen, publish_summary
+from pulse.operators.ingest import RAW, publish_summary
 from pulse.operators.serve import encode, merge_reports
 from pulse.schema import POST, REPORT
 from pulse.sources.store import materialize, read_or_empty
@@ -69,30 +69,37 @@ def write_predictions(predictions: DataFrame, path: str, predict_date: date) ->
 def land_posts(
     batch: DataFrame,
     path: str,
-    order: Sequence[Column | str],
+    order: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict[str, int]:
-    """Append the first row of each new url; stored urls are left alone.
+    """Append the first row of each new url; stored urls are left alone, rows without one skipped.
 
     The keys of a batch are measured. When they are small the stored urls are filtered against
     them without moving the table; otherwise both sides are shuffled by url.
     """
-    columns = POST.names
-    firsts = first_seen(batch, "url", order).select(*columns).persist()
+    rest = [c for c in POST.names if c != "url"]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("first")
+    urls = batch.groupBy("url").agg(first, F.count(F.lit(1)).alias("rows")).persist()
     try:
-        size = firsts.agg(F.coalesce(F.sum(F.octet_length("url")), F.lit(0)).alias("b")).first()["b"]
+        size = urls.agg(
+            F.coalesce(F.sum(F.octet_length("url")), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        ).first()
         stored = read_or_empty(batch.sparkSession, path, POST).select("url")
-        if size <= broadcast_bytes:
-            stored = stored.join(F.broadcast(firsts.select("url")), "url", "left_semi")
+        if size["bytes"] <= broadcast_bytes:
+            stored = stored.join(F.broadcast(urls.select("url")), "url", "left_semi")
         inserted = Observation()
-        fresh = firsts.join(stored, "url", "left_anti").observe(
-            inserted, F.count(F.lit(1)).alias("n")
+        fresh = (
+            urls.filter(F.length("url") > 0)
+            .join(stored, "url", "left_anti")
+            .select("url", "first.*")
+            .observe(inserted, F.count(F.lit(1)).alias("n"))
         )
         fresh.write.mode("append").parquet(path)
-        seen, new = batch.count(), inserted.get["n"]
+        new = inserted.get["n"]
     finally:
-        firsts.unpersist()
-    return {"inserted": new, "skipped": seen - new}
+        urls.unpersist()
+    return {"inserted": new, "skipped": size["rows"] - new}
 
 
 def append_windows(df: DataFrame, path: str) -> None:

@@ -63,6 +63,8 @@ def test_landing_keeps_the_first_row_of_a_url(spark, tmp_path, broadcast_bytes):
     assert land(frame(("a", "late", 2), ("a", "first", 1), ("b", "b", 3))) == {"inserted": 2, "skipped": 1}
     assert land(frame(("a", "new", 1), ("c", "c", 2), ("c", "c2", 3))) == {"inserted": 1, "skipped": 2}
     assert land(frame(("a", "new", 1), ("c", "c", 2))) == {"inserted": 0, "skipped": 2}
+    assert land(frame((None, "x", 1), (None, "y", 2), ("", "z", 3))) == {"inserted": 0, "skipped": 3}
+    assert land(frame()) == {"inserted": 0, "skipped": 0}
     assert [(x[0], x[1]) for x in stored(spark, path, POST)] == [("a", "first"), ("b", "b"), ("c", "c")]
 
 
