@@ -378,12 +378,15 @@ def inference_rows(spark, sf_dir):
 
 @query
 def predictions_ridge(spark, sf_dir):
-    """The whole daily job, from posts to the best predictions."""
+    """The whole daily job, from posts to the best predictions, to seven digits."""
     best = daily.forecast_posts(
         fx.daily_posts(spark, sf_dir), fx.RUN_DATE, DailyParams(stopwords=fx.STOPWORDS)
     )
     return best.withColumns(
-        {c: F.round(c, 5) for c in ("predicted_count", "score", "burst")}
+        {
+            c: F.format_string("%.6e", c).cast("double")
+            for c in ("predicted_count", "score", "burst")
+        }
     )
 
 

@@ -16,14 +16,14 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN = frozenset(("script", "style", "noscript"))
-# Common named entities, ampersand last.
+# Common entities, with or without the semicolon, ampersand last.
 ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&amp;", "&"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&#39;?", "'"),
+    ("&nbsp;?", "\xa0"),
+    ("&amp;?", "&"),
 )
 
 
@@ -196,5 +196,5 @@ def page_titles(pages: DataFrame) -> DataFrame:
     text = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
     for _ in range(2):
         for entity, plain in ENTITIES:
-            text = F.replace(text, F.lit(entity), F.lit(plain))
+            text = F.regexp_replace(text, entity, plain)
     return pages.withColumn("page_title", F.nullif(F.trim(text), F.lit(""))).drop("html")

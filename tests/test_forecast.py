@@ -3,7 +3,6 @@ from datetime import date, timedelta
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from pulse.operators import forecast as f
 from pulse.schema import PREDICTION, TOKEN_STATS, PredictParams
