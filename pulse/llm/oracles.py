@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pulse.llm.secret_scan import RULES
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_chat_format"] = r"""
@@ -85,3 +87,64 @@ select f.doc_id, f.source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat
   not base_failed and not rejected as kept
 from failed f join verdicts v on f.source is not distinct from v.source
 """
+
+
+def _secret_kind(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+  select doc_id, {rank} as rank, '{kind}' as kind, unnest(range(1, len(m) + 1)) as n,
+    unnest(list_transform(m, lambda x: length(x))) as step,
+    unnest(list_transform(m, lambda x: length(regexp_extract(x, '{quoted}', 0)))) as size,
+    unnest(list_transform(m, lambda x: length(regexp_extract(x, '{quoted}', {group})))) as secret, {least} as least
+  from (select doc_id, regexp_extract_all(text, '(?s:.*?)(?:{quoted})') as m from texts)
+"""
+
+
+ORACLES["op1_secret_scan"] = (
+    "with texts as (select doc_id, coalesce(text, '') as text from documents), pieces as ("
+    + " union all ".join(
+        _secret_kind(i, r.kind, r.pattern, r.group, r.least) for i, r in enumerate(RULES)
+    )
+    + """), placed as (
+  select *, sum(step) over (partition by doc_id, rank order by n) as stop from pieces
+), spans as (
+  select doc_id, rank, kind, stop - size as start, kind || ':' || (stop - size) || ':' || stop as s
+  from placed where secret >= least
+)
+select t.doc_id, count(*) filter (kind = 'assign') as n_assign,
+  count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+  sha256(coalesce(string_agg(s, ',' order by start, rank) filter (rank < 3), '')) as base_sha256,
+  coalesce(string_agg(s, ',' order by start, rank), '') as spans
+from texts t left join spans on t.doc_id = spans.doc_id group by t.doc_id
+"""
+)
+
+ORACLES["op7_benchmark_decontamination"] = r"""
+with lowered as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+  select distinct item_id, least(len(w), 10) as k,
+    array_to_string(list_slice(w, p, p + least(len(w), 10) - 1), ' ') as phrase
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as p from items where len(w) > 0)
+), sizes as (select distinct k from windows),
+grams as (
+  select doc_id, k, p, array_to_string(list_slice(w, p, p + k - 1), ' ') as phrase
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as p from lowered, sizes where len(w) >= k)
+), found as (
+  select g.doc_id, g.p, g.k, x.item_id from grams g join windows x on g.phrase = x.phrase and g.k = x.k
+), hit as (
+  select doc_id, count(distinct q) as n from (
+    select doc_id, unnest(range(p, p + k)) as q from found) group by doc_id
+), named as (
+  select doc_id, count(*) as n, string_agg(i, ',' order by i) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as i from found) group by doc_id
+)
+select l.doc_id, cast(len(w) as bigint) as n_words, coalesce(h.n, 0) as n_hit,
+  coalesce(n.n, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(h.n, 0) > 0 as contaminated
+from lowered l left join hit h on l.doc_id = h.doc_id left join named n on l.doc_id = n.doc_id
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, packing, quality, substring, token_files
+from pulse.llm import chat, decontam, packing, quality, secret_scan, substring, token_files
+from pulse.sources.store import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    versions = secret_scan.versions_of(table(spark, sf_dir, "documents"))
+    ledger = secret_scan.update_ledger(versions, scratch(spark, "secret-ledger"))
+    return secret_scan.scan_report(secret_scan.findings(versions, ledger))
+
+
 @query
 def op5_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -49,6 +57,13 @@ def op6_substring_dedup(spark, sf_dir):
     return substring.kept_digest(removed).drop("spans")
 
 
+@query
+def op7_benchmark_decontamination(spark, sf_dir):
+    return decontam.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op8_token_files(spark, sf_dir):
     folder = token_files.token_files_folder(spark)
