@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontam, packing, quality, secret_scan, substring, token_files
+from pulse.llm import chat, decontam, packing, quality, secret_scan, substring, token_files, toxicity
 from pulse.sources.store import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op1_secret_scan(spark, sf_dir):
     return secret_scan.scan_report(secret_scan.findings(versions, ledger))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ).drop("ratio")
+
+
 @query
 def op5_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
