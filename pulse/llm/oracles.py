@@ -148,3 +148,28 @@ select l.doc_id, cast(len(w) as bigint) as n_words, coalesce(h.n, 0) as n_hit,
   coalesce(h.n, 0) > 0 as contaminated
 from lowered l left join hit h on l.doc_id = h.doc_id left join named n on l.doc_id = n.doc_id
 """
+
+ORACLES["op4_minhash_near_dedup"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, array_to_string(list_slice(w, p, p + 4), ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as p from words where len(w) > 0)
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, count(*) as n
+  from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id group by 1, 2
+), links as (
+  select a, b from common c join sizes p on c.a = p.doc_id join sizes q on c.b = q.doc_id
+  where 100 * c.n >= 75 * (p.n + q.n - c.n)
+), sym as (select a, b from links union all select b, a from links),
+reach as (
+  select distinct a as node, a as other from sym
+  union
+  select r.node, l.b from reach r join sym l on r.other = l.a
+), roots as (select node, min(other) as root from reach group by node)
+select w.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(least(r.root, w.doc_id), w.doc_id) as component_id,
+  coalesce(least(r.root, w.doc_id), w.doc_id) = w.doc_id as kept
+from words w left join sizes s on w.doc_id = s.doc_id left join roots r on w.doc_id = r.node
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontam, packing, quality, secret_scan, substring, token_files, toxicity
+from pulse.llm import chat, decontam, neardup, packing, quality, secret_scan, substring, token_files, toxicity
 from pulse.sources.store import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op3_toxicity(spark, sf_dir):
     ).drop("ratio")
 
 
+@query
+def op4_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
