@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontam, neardup, packing, quality, secret_scan, substring, token_files, toxicity
+from pulse.llm import chat, decontam, neardup, packing, quality, secret_scan, substring, suffix, token_files, toxicity
 from pulse.sources.store import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op1_secret_scan(spark, sf_dir):
     return secret_scan.scan_report(secret_scan.findings(versions, ledger))
 
 
+@query
+def op2_suffix_array_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    removed = substring.remove_repeats(docs, suffix.K, suffix.repeated_windows(docs))
+    return substring.kept_digest(removed).drop("spans")
+
+
 @query
 def op3_toxicity(spark, sf_dir):
     return toxicity.score_documents(
