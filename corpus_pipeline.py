@@ -1,16 +1,89 @@
-"""From raw documents to packed sequences, stage by stage."""
+"""From raw documents to packed sequences, stage by stage.
+
+Every stage takes the documents its predecessor kept and returns their columns; the last returns
+packed pieces. Rows of one doc_id are one document: they go or stay together, and rows without an id
+do so too. Stages need columns doc_id, text and source; others pass through, n_chars follows the text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulse.llm import decontam, neardup, packing, quality, secret_scan
+from pulse.llm.queries import table, vocabulary
+from pulse.llm.stored import stored
+from pulse.sources.store import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
 
+
+def _keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of documents whose verdicts (doc_id, kept) all keep them."""
+    kept = verdicts.groupBy("doc_id").agg(F.bool_and("kept").alias("kept")).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("__kept_id")).hint("shuffle_hash")
+    own = docs["doc_id"].cast("long").eqNullSafe(kept["__kept_id"])
+    return docs.join(kept, own, "left_semi")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail the base rules or come from a rejected host."""
+    return _keep(docs, quality.judge(docs).select("doc_id", "kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of every group of near duplicates."""
+    return _keep(docs, neardup.near_duplicates(docs).select("doc_id", "kept"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _keep(docs, found.select("doc_id", (~F.col("contaminated")).alias("kept")))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts by a mark."""
+    versions = secret_scan.versions_of(docs)
+    ledger = secret_scan.update_ledger(versions, scratch(spark, "secret-ledger"))
+    found = secret_scan.blob_findings(ledger).select(
+        F.col("blob").alias("__found"), F.col("spans").alias("__spans")
+    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.withColumn("__blob", F.sha2(text, 256))
+    joined = rows.join(found.hint("shuffle_hash"), F.col("__blob") == F.col("__found"), "left")
+    hit = F.col("__spans").isNotNull()
+    clean = F.when(hit, secret_scan.redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
+    out = joined.withColumn("text", clean)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        counted = F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", counted)
+    return out.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents into sequences of at most 4096 tokens."""
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("near-duplicate removal", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("secret redaction", redact_secrets),
+    ("best-fit packing", pack),
+]
+
+# Token ids are beyond SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over documents; what a stage keeps is written and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -186,22 +186,27 @@ def update_ledger(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RU
     return read_ledger(spark, ledger)
 
 
-def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """path and all spans of its content under the current rules: array of start, rank, stop, kind.
+def blob_findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """blob and its spans under the current rules, for blobs with any: array of start, rank, stop, kind.
 
     Spans are ordered by start, then by the order of the rules. A pair may stand in the ledger twice
     after a repeated append; equal spans count once.
     """
     ranks = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (f"{r.kind}:{r.version}", i)])
     rank = ranks[F.concat_ws(":", "kind", "version")]
-    found = (
+    return (
         ledger.withColumn("rank", rank)
         .filter(F.col("rank").isNotNull() & (F.size("spans") > 0))
         .select("blob", F.explode("spans").alias("s"), "rank", "kind")
         .groupBy("blob")
         .agg(F.array_sort(F.collect_set(F.struct("s.start", "rank", "s.stop", "kind"))).alias("spans"))
     )
+
+
+def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """path, blob and all spans of its content, for every version."""
     none = F.array().cast("array<struct<start:long,rank:int,stop:long,kind:string>>")
+    found = blob_findings(ledger, rules)
     return versions.select("path", "blob").join(found, "blob", "left").select(
         "path", "blob", F.coalesce("spans", none).alias("spans")
     )
