@@ -21,13 +21,14 @@ from pulse.plans import collect, daily, trends
 from pulse.schema import (
     PREDICTION,
     RISING_SNAPSHOT,
+    TOKEN_STATS,
     TOP_SNAPSHOT,
     TRAFFIC_SNAPSHOT,
     DailyParams,
     StreamParams,
 )
-from pulse.sources.readers import read_token_stats
-from pulse.sources.sinks import SNAPSHOT_ROW
+from pulse.sources.readers import read_crawl_result, read_snapshot, read_token_stats, read_words
+from pulse.sources.sinks import SNAPSHOT_ROW, replace_dates, write_predictions, write_snapshot
 from pulse.sources.store import materialize, read_or_empty, scratch
 from pulse.streaming import jobs
 
@@ -180,13 +181,14 @@ def token_share(spark, sf_dir):
 
 @query
 def token_universe(spark, sf_dir):
-    """Words of English against words of French documents."""
+    """Words of documents with even ids against those with odd ids."""
     words = fx.table(spark, sf_dir, "documents").select(
-        "lang", F.explode(distinct_tokens(tokens_stream(F.lit(None), F.col("text")))).alias("token")
+        (F.col("doc_id") % 2).alias("side"),
+        F.explode(distinct_tokens(tokens_stream(F.lit(None), F.col("text")))).alias("token"),
     )
-    per_lang = words.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = words.groupBy("side", "token").agg(F.count(F.lit(1)).alias("cnt"))
     return windows.token_universe(
-        per_lang.filter("lang = 'en'").drop("lang"), per_lang.filter("lang = 'fr'").drop("lang")
+        counts.filter("side = 0").drop("side"), counts.filter("side = 1").drop("side")
     )
 
 
@@ -206,6 +208,13 @@ def tokens_streaming(spark, sf_dir):
     )
 
 
+@query
+def tokens_capped(spark, sf_dir):
+    """The cap of the window jobs, a setting: the first 300 words of a post."""
+    words = tokens_stream(F.col("title"), F.col("content_text"), fx.STOPWORDS, cap=300)
+    return fx.messages(spark, sf_dir).select("msg_id", _joined(words).alias("words"))
+
+
 @query
 def tokens_batch(spark, sf_dir):
     cleaned = docs.cleaned_docs(fx.daily_posts(spark, sf_dir))
@@ -280,6 +289,74 @@ def token_documents(spark, sf_dir):
     return docs.distinct_token_docs(docs.tokenize(_docs(spark, sf_dir), words=fx.STOPWORDS))
 
 
+def _short_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A word list of thousands of lines: all words of documents up to five letters."""
+    path = scratch(spark, "words")
+    short = split_tokens(F.col("text"))
+    words = fx.table(spark, sf_dir, "documents").select(F.explode(short).alias("value"))
+    words.filter(F.length("value").between(1, 5)).distinct().write.text(path)
+    return read_words(spark, path)
+
+
+@query
+def word_list(spark, sf_dir):
+    return _short_words(spark, sf_dir)
+
+
+@query
+def stats_without_words(spark, sf_dir):
+    return docs.without_words(_stats(spark, sf_dir), _short_words(spark, sf_dir))
+
+
+@query
+def tokens_tagged(spark, sf_dir):
+    """The tokenizer with an analyzer: capitalized words are tagged as names, others as verbs."""
+
+    def analyzer(text: Column) -> Column:
+        tag = lambda t: F.when(F.initcap(t) == t, "NNP").otherwise("VV")
+        return F.transform(split_tokens(text), lambda t: F.struct(t.alias("form"), tag(t).alias("tag")))
+
+    tagged = docs.tokenize(_docs(spark, sf_dir), "morph", analyzer, fx.STOPWORDS)
+    return tagged.select("doc_id", _joined(F.col("tokens")).alias("words"))
+
+
+@query
+def stats_replaced(spark, sf_dir):
+    """Statistics stored by day, some days twice, and read back."""
+    path, days = scratch(spark, "stats"), [fx.RUN_DATE.replace(day=d) for d in range(1, 8)]
+    stats = _stats(spark, sf_dir)
+    replace_dates(stats.withColumn("doc_count", F.lit(0).cast("long")), path, "stat_date", days[:3])
+    replace_dates(stats, path, "stat_date", days, rebalance=True)
+    return read_or_empty(spark, path, TOKEN_STATS)
+
+
+@query
+def predictions_stored(spark, sf_dir):
+    """Predictions written twice and read back."""
+    path, best = scratch(spark, "predictions"), _predictions(spark, sf_dir)
+    for _ in range(2):
+        write_predictions(best, path, fx.NEXT_DATE)
+    return read_or_empty(spark, path, PREDICTION).select(*PREDICTION.names)
+
+
+@query
+def crawl_result(spark, sf_dir):
+    """Posts and failures of a crawl, written as one object per source and read back."""
+    path = scratch(spark, "crawl")
+    url = F.concat(F.lit(fx.POST_URL), F.col("doc_id").cast("string"))
+    post = F.struct(url.alias("url"), F.col("source").alias("title"), F.col("text").alias("content_text"))
+    failure = F.struct(url.alias("url"), F.concat(F.lit("timeout "), F.col("lang")).alias("error"))
+    ok = F.col("doc_id") % 10 != 3
+    runs = fx.table(spark, sf_dir, "documents").groupBy("source").agg(
+        F.collect_list(F.when(ok, post)).alias("posts"), F.collect_list(F.when(~ok, failure)).alias("failures")
+    )
+    # one file per run, as the crawler leaves them
+    body = F.to_json(F.struct("posts", "failures")).alias("value")
+    runs.select("source", body).write.partitionBy("source").text(path)
+    posts, failures = read_crawl_result(spark, path)
+    return posts.select("url", "title", "content_text").unionByName(failures, allowMissingColumns=True)
+
+
 # Forecast -----------------------------------------------------------------------------------
 
 
@@ -441,11 +518,8 @@ def dead_letters(spark, sf_dir):
 
 @query
 def failure_routing(spark, sf_dir):
-    """Documents without a label as crawl failures."""
-    unlabelled = fx.table(spark, sf_dir, "documents").join(
-        fx.table(spark, sf_dir, "labels"), "doc_id", "left_anti"
-    )
-    failures = unlabelled.select(
+    """Every document as a crawl failure, some without url or reason."""
+    failures = fx.table(spark, sf_dir, "documents").select(
         F.when(F.col("doc_id") % 9 != 0, F.concat(F.lit(fx.POST_URL), F.col("doc_id").cast("string")))
         .alias("url"),
         F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("timeout "), F.col("source"))).alias("error"),
@@ -540,19 +614,21 @@ def page_bodies(spark, sf_dir):
 
 
 def _collected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    fetched = fx.table(spark, sf_dir, "pages").select(
+    """Every tenth page could not be fetched; some urls were fetched several times."""
+    fetched = fx.table(spark, sf_dir, "pages").filter("page_id % 10 <> 3").select(
         mobile_url(F.col("url"), fx.HOST, fx.MOBILE_HOST, fx.KEEP_KEYS).alias("url"), "page_id", "html"
     )
-    once = ingest.first_seen(fetched, "url", ["page_id"])
     return collect.collect(
-        fx.search_items(spark, sf_dir), once, fx.HOST, ["page_id"], fx.MOBILE_HOST, fx.KEEP_KEYS,
-        None, None, PAGE_TITLES, PAGE_BODIES,
+        fx.search_items(spark, sf_dir), fetched, fx.HOST, ["page_id"], fx.MOBILE_HOST, fx.KEEP_KEYS,
+        title_rules=PAGE_TITLES, body_rules=PAGE_BODIES, page_order=["page_id"],
     )
 
 
 @query
 def collected_posts(spark, sf_dir):
-    return _collected(spark, sf_dir)[0].drop("content_text")
+    """Posts with their texts, and failures with their reasons."""
+    posts, failures = _collected(spark, sf_dir)
+    return posts.unionByName(failures, allowMissingColumns=True)
 
 
 @query
@@ -644,20 +720,6 @@ def report_filter(spark, sf_dir):
     return reports.select("report_date", "title")
 
 
-def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Snapshots of every window; the words are counted once for both rankings."""
-    rows = materialize(windows.window_token_rows(fx.messages(spark, sf_dir), PARAMS))
-    counts, closed = windows.split_rows(rows)
-    traffic = windows.traffic_summary(windows.traffic_counts(fx.messages(spark, sf_dir)))
-    top = windows.top_tokens(counts, closed)
-    risen = windows.rising_tokens(counts, closed)
-    return (
-        traffic.select(*TRAFFIC_SNAPSHOT.names),
-        windows.top_snapshot(top, closed),
-        windows.rising_snapshot(risen, closed),
-    )
-
-
 def _top_items(snapshots: DataFrame) -> DataFrame:
     return snapshots.select("window_end", "total_posts", F.explode("items").alias("i")).select(
         "window_end", "total_posts", "i.*"
@@ -667,14 +729,27 @@ def _top_items(snapshots: DataFrame) -> DataFrame:
 @query
 def snapshot_top_decoded(spark, sf_dir):
     """Top snapshots to JSON and back."""
-    return _top_items(serve.decode(serve.encode(_snapshots(spark, sf_dir)[1]), TOP_SNAPSHOT))
+    rows = materialize(windows.window_token_rows(fx.messages(spark, sf_dir), PARAMS))
+    counts, closed = windows.split_rows(rows)
+    top = windows.top_snapshot(windows.top_tokens(counts, closed), closed)
+    return _top_items(serve.decode(serve.encode(top), TOP_SNAPSHOT))
+
+
+@query
+def snapshot_latest(spark, sf_dir):
+    """Top snapshots of all windows stored twice; the newest is served."""
+    target = scratch(spark, "snapshots")
+    messages = fx.messages(spark, sf_dir)
+    rows = materialize(windows.window_token_rows(messages, PARAMS))
+    counts, closed = windows.split_rows(rows)
+    top = windows.top_snapshot(windows.top_tokens(counts, closed), closed)
+    for _ in range(2):
+        write_snapshot(top, target, "top")
+    return _top_items(read_snapshot(spark, target, "top"))
 
 
 def _dashboard(spark: SparkSession, sf_dir: str, limit: int | None) -> DataFrame:
-    last = [
-        s.orderBy(F.col("window_end").desc()).limit(1) for s in _snapshots(spark, sf_dir)
-    ]
-    row = serve.dashboard_latest(*last, limit=limit)
+    row = serve.dashboard_latest(*trends.latest_snapshots(fx.messages(spark, sf_dir), PARAMS), limit=limit)
     items = [
         F.array_join(
             F.transform(
@@ -726,6 +801,16 @@ def stream_top_tokens(spark, sf_dir):
     return _top_items(_history(spark, target, "top", TOP_SNAPSHOT))
 
 
+@query
+def stream_replayed(spark, sf_dir):
+    """Two batches, the halves of the posts, of which the first is replayed at the end."""
+    target, messages = scratch(spark, "replayed"), fx.messages(spark, sf_dir)
+    halves = [messages.filter(F.col("msg_id") % 2 == i) for i in range(2)]
+    for i in (0, 1, 0):
+        jobs.add_posts(halves[i], target, PARAMS, i, rising=False)
+    return _top_items(_history(spark, target, "top", TOP_SNAPSHOT))
+
+
 @query
 def stream_rising_tokens(spark, sf_dir):
     target = scratch(spark, "rising")

@@ -82,14 +82,15 @@ def tokens_stream(
     title: Column,
     body: Column,
     words: Sequence[str] = (),
-    cap: int | None = 300,
+    cap: int | None = None,
     min_len: int = MIN_LEN,
     max_len: int = MAX_LEN,
 ) -> Column:
     """Words of a post for the window jobs.
 
     One regex pass picks runs of letters, digits and underscore whose whole run has a
-    valid length and is neither a number nor only laughing; order and repeats stay.
+    valid length and is neither a number nor only laughing; order and repeats stay. With a cap
+    only the first words count, a setting for jobs that want it.
     """
     inside = r"[\p{L}\p{N}_]"
     pattern = (

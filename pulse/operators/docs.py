@@ -117,6 +117,15 @@ def tokenize(
     return found.withColumn("tokens", filter_tokens(forms, words, min_len, max_len)).drop("_morphs")
 
 
+def without_words(counts: DataFrame, words: DataFrame, column: str = "token") -> DataFrame:
+    """Counts without those of listed words, for lists of any length.
+
+    The list (``word``) is taken out of the counts, not of the texts: the result is the same, and one
+    row per day and word is joined instead of every mention.
+    """
+    return counts.join(words.select(F.col("word").alias(column)), column, "left_anti")
+
+
 def daily_token_stats(tokenized: DataFrame) -> DataFrame:
     """Mentions and documents per day and word.
 

@@ -223,9 +223,11 @@ def assemble_posts(
 ) -> tuple[DataFrame, DataFrame]:
     """Posts from items with a fetched page, failures from the rest.
 
-    ``pages`` has url, page_title and content_text. The page title wins over the search title.
+    ``pages`` has url, page_title and content_text; of several pages of a url the least counts.
+    The page title wins over the search title.
     """
-    fetched = pages.select("url", "page_title", "content_text", F.lit(True).alias("_found"))
+    once = first_seen(pages, "url", ["page_title", "content_text"])
+    fetched = once.select("url", "page_title", "content_text", F.lit(True).alias("_found"))
     joined = items.join(fetched, "url", "left")
     posts = joined.filter("_found").select(
         F.lit("1.0").alias("schema_version"),
@@ -245,9 +247,11 @@ def retry_merge(
     """Posts with the recovered ones added, failures that remain, and both counts.
 
     ``retried`` has the post columns and ``error``, null where the retry worked; only urls that
-    had failed count.
+    had failed count. Of several attempts at a url one counts, a successful one if there is any.
     """
     tried = retried.join(failures.select("url").distinct(), "url", "left_semi")
+    rest = [c for c in tried.columns if c not in ("url", "error")]
+    tried = first_seen(tried, "url", [F.col("error").asc_nulls_first(), *rest])
     recovered = tried.filter(F.col("error").isNull())
     still = failures.join(recovered.select("url"), "url", "left_anti").join(
         tried.filter(F.col("error").isNotNull()).select("url", F.col("error").alias("_new")),

@@ -98,11 +98,15 @@ def first_per_window(
     return windowed(messages, duration).groupBy("w", "url").agg(best).select("w", "url", "first.*")
 
 
-def post_tokens(messages: DataFrame, params: StreamParams = StreamParams()) -> DataFrame:
+def post_tokens(
+    messages: DataFrame, params: StreamParams = StreamParams(), keep: Sequence[str] = ()
+) -> DataFrame:
     """``w, url, tokens``: the distinct words of each post that arrived first in its window.
 
-    Texts become at most ``token_cap`` words before the shuffle, so what is moved per post is
-    bounded whatever its length. The row with a null url stands for undecodable messages.
+    ``keep`` names more columns of that arrival.
+
+    Texts become their distinct words before the shuffle. The row with a null url stands for
+    undecodable messages.
     """
     words = tokens_stream(
         F.col("title"), F.col("content_text"), params.stopwords, params.token_cap
@@ -114,7 +118,7 @@ def post_tokens(messages: DataFrame, params: StreamParams = StreamParams()) -> D
         url.alias("url"),
         F.when(url.isNotNull(), distinct_tokens(words)).alias("tokens"),
     )
-    return first_per_window(slim, ["tokens"], duration=params.window)
+    return first_per_window(slim, [*keep, "tokens"], duration=params.window)
 
 
 def token_rows(posts: DataFrame) -> DataFrame:

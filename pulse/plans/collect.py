@@ -12,6 +12,7 @@ from pulse.operators.ingest import (
     assemble_posts,
     discover_items,
     first_n,
+    first_seen,
     route_failures,
     route_posts,
 )
@@ -26,20 +27,23 @@ def collect(
     order: Sequence[Column | str],
     mobile_host: str | None = None,
     keep_keys: Sequence[str] = KEEP_KEYS,
-    target_unique: int | None = 1000,
-    max_fetch: int | None = 1000,
+    target_unique: int | None = None,
+    max_fetch: int | None = None,
     title_rules: tuple[Rule, ...] = TITLE_RULES,
     body_rules: tuple[Rule, ...] = BODY_RULES,
+    page_order: Sequence[Column | str] = ("html",),
 ) -> tuple[DataFrame, DataFrame]:
     """Posts and failures.
 
     ``found`` holds search results (link, title, postdate, discovered_at and the order
-    columns), ``pages`` the fetched ``url, html``. The two caps are settings of the job.
+    columns), ``pages`` the fetched ``url, html`` and the columns of ``page_order``, by which the
+    first page of a url counts. The two caps are settings of the job, off by default.
     """
     items = discover_items(found, host, order, mobile_host, keep_keys, target_unique)
     if max_fetch is not None:
         items = first_n(items, order, max_fetch)
-    return assemble_posts(items, extract_pages(pages.select("url", "html"), title_rules, body_rules))
+    once = first_seen(pages, "url", page_order).select("url", "html")
+    return assemble_posts(items, extract_pages(once, title_rules, body_rules))
 
 
 def publish(

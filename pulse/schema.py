@@ -157,11 +157,10 @@ class StreamParams:
     """Settings of the ten-minute window jobs."""
 
     window: str = "10 minutes"
-    lateness: str = "10 minutes"
     top_n: int = 20
     min_count: int = 5
     min_delta: int = 3
-    token_cap: int = 300
+    token_cap: int | None = None
     stopwords: tuple[str, ...] = DEFAULT_STOPWORDS
     ttl_seconds: int = 86400
 

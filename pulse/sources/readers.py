@@ -14,7 +14,7 @@ from pulse.functions.text import DEFAULT_STOPWORDS
 from pulse.operators.serve import dashboard_latest, decode, latest_snapshot
 from pulse.schema import FAILURE, POST_MESSAGE, SNAPSHOT_SCHEMAS
 from pulse.sources.sinks import SNAPSHOT_ROW
-from pulse.sources.store import read_or_empty
+from pulse.sources.store import day_names, read_days
 
 # A word list becomes part of the plan, so it has to stay small.
 MAX_STOPWORDS = 100_000
@@ -60,25 +60,26 @@ def read_posts_stream(
 def jdbc_options(
     url: str,
     table: str,
-    partition_column: str | None = None,
+    partition_column: str,
     lower: str | None = None,
     upper: str | None = None,
     num_partitions: int = 64,
     fetch_size: int = 10_000,
     **more: str,
 ) -> dict[str, str]:
-    """Options of a table read; with a partition column the read is split over tasks."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **more}
-    if partition_column is not None:
-        if lower is None or upper is None:
-            raise ValueError("a partitioned read needs lower and upper bounds")
-        options |= {
-            "partitionColumn": partition_column,
-            "lowerBound": lower,
-            "upperBound": upper,
-            "numPartitions": str(num_partitions),
-        }
-    return options
+    """Options of a table read that is split over tasks by a column and its bounds."""
+    if lower is None or upper is None:
+        raise ValueError("a partitioned read needs lower and upper bounds")
+    return {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_size),
+        "partitionColumn": partition_column,
+        "lowerBound": lower,
+        "upperBound": upper,
+        "numPartitions": str(num_partitions),
+        **more,
+    }
 
 
 def read_posts(
@@ -87,7 +88,12 @@ def read_posts(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The stored posts, from files or with ``fmt="jdbc"`` and :func:`jdbc_options`."""
+    """The stored posts, from files or with ``fmt="jdbc"`` and :func:`jdbc_options`.
+
+    A table read without a split would be one task and is refused.
+    """
+    if fmt == "jdbc" and "partitionColumn" not in (options or {}):
+        raise ValueError("a table read needs jdbc_options with a partition column")
     reader = spark.read.format(fmt).options(**(options or {}))
     return reader.load(path) if path is not None else reader.load()
 
@@ -115,18 +121,20 @@ def read_token_stats(stats: DataFrame, run_date: date, window_days: int = 7) ->
     )
 
 
-def _word_lines(spark: SparkSession, path: str, lower: bool) -> list[str]:
+def read_words(spark: SparkSession, path: str, lower: bool = True) -> DataFrame:
+    """A word list of any length as a table: ``word``, one per line, blank lines and # lines skipped.
+
+    For lists too long for a plan; see :func:`pulse.operators.docs.without_words`.
+    """
     word = F.trim("value")
     if lower:
         word = F.lower(word)
-    lines = (
-        spark.read.text(path)
-        .select(word.alias("word"))
-        .filter((F.col("word") != "") & ~F.col("word").startswith("#"))
-        .distinct()
-        .limit(MAX_STOPWORDS + 1)
-    )
-    return [r["word"] for r in lines.collect()]
+    lines = spark.read.text(path).select(word.alias("word"))
+    return lines.filter((F.col("word") != "") & ~F.col("word").startswith("#")).distinct()
+
+
+def _word_lines(spark: SparkSession, path: str, lower: bool) -> list[str]:
+    return [r["word"] for r in read_words(spark, path, lower).limit(MAX_STOPWORDS + 1).collect()]
 
 
 def load_stopwords(
@@ -151,16 +159,24 @@ def load_stopwords(
     extra = (w.strip() for w in extra_csv.split(","))
     words.update(w.lower() if lower else w for w in extra if w)
     if len(words) > MAX_STOPWORDS:
-        raise ValueError(f"more than {MAX_STOPWORDS} stopwords")
+        raise ValueError(f"more than {MAX_STOPWORDS} stopwords; use read_words and without_words")
     return tuple(sorted(words or default))
 
 
 def read_snapshot(
     spark: SparkSession, path: str, name: str, now: datetime | None = None
 ) -> DataFrame:
-    """Latest snapshot of a kind, decoded; no row when missing, expired or malformed."""
-    history = read_or_empty(spark, f"{path}/{name}", SNAPSHOT_ROW)
-    return decode(latest_snapshot(history, now), SNAPSHOT_SCHEMAS[name])
+    """Latest snapshot of a kind, decoded; no row when missing, expired or malformed.
+
+    Days are opened from the newest on until one has a snapshot that has not expired.
+    """
+    root = f"{path}/{name}"
+    newest = spark.createDataFrame([], SNAPSHOT_ROW)
+    for day in reversed(day_names(spark, root)):
+        newest = latest_snapshot(read_days(spark, root, SNAPSHOT_ROW, day, day), now)
+        if not newest.isEmpty():
+            break
+    return decode(newest.select("payload"), SNAPSHOT_SCHEMAS[name])
 
 
 def read_dashboard(

@@ -1,8 +1,7 @@
 """Writing posts, dated tables, snapshots, reports and routed messages.
 
-Tables are parquet folders. A write replaces whole partitions, appends rows whose key is new,
-or appends rows per window that readers take once per window, so running a job or a
-micro-batch again leaves the same result.
+Tables are parquet folders. A write replaces whole partitions or appends rows whose key is new, so
+running a job or a micro-batch again leaves the same result.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ SNAPSHOT_ROW = T.StructType(
         T.StructField("payload", T.StringType()),
         T.StructField("expires_at", T.TimestampType()),
         T.StructField("window_day", T.DateType()),
+        T.StructField("window_key", T.StringType()),
     ]
 )
 
@@ -102,13 +102,15 @@ def land_posts(
     return {"inserted": new, "skipped": size["rows"] - new}
 
 
-def append_windows(df: DataFrame, path: str) -> None:
-    """Add rows, a few per window, under the UTC day of the window end.
-
-    They are gathered by a shuffle, so whatever they were filtered from stays spread out.
-    """
-    dated = df.withColumn("window_day", F.to_date("window_end"))
-    dated.repartition(1).write.mode("append").partitionBy("window_day").parquet(path)
+def overwrite_windows(df: DataFrame, path: str) -> None:
+    """Replace the rows of the windows that occur in ``df``, one folder per window."""
+    keyed = df.withColumns(
+        {
+            "window_day": F.to_date("window_end"),
+            "window_key": F.date_format("window_end", "yyyyMMddHHmm"),
+        }
+    )
+    overwrite_partitions(keyed.hint("rebalance", "window_key"), path, ["window_day", "window_key"])
 
 
 def write_snapshot(
@@ -118,7 +120,7 @@ def write_snapshot(
     ttl_seconds: int | None = None,
     now: datetime | None = None,
 ) -> None:
-    """Store snapshots by window; the newest one is the current one.
+    """Store snapshots by window, replacing those of the same window; the newest is the current one.
 
     Without a time to live a snapshot never expires.
     """
@@ -128,7 +130,7 @@ def write_snapshot(
     rows = encode(snapshots, "window_end").select(
         "window_end", "payload", expires.alias("expires_at")
     )
-    append_windows(rows, f"{path}/{name}")
+    overwrite_windows(rows, f"{path}/{name}")
 
 
 def upsert_reports(new: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,35 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def day_names(spark: SparkSession, path: str, column: str = "window_day") -> list[date]:
+    """Days of a table foldered by day, from the names of its folders alone."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    return sorted(date.fromisoformat(n.split("=")[1]) for n in names if n.startswith(f"{column}="))
+
+
+def read_days(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    first: date | None = None,
+    last: date | None = None,
+    column: str = "window_day",
+) -> DataFrame:
+    """Rows of the days in a range; the files of other days are not even listed."""
+    days = [
+        d for d in day_names(spark, path, column)
+        if (first is None or d >= first) and (last is None or d <= last)
+    ]
+    if not days:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/{column}={d.isoformat()}" for d in days]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A parquet table, or no rows when nothing was written yet."""
     try:

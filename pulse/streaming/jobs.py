@@ -1,20 +1,23 @@
 """The window jobs as Structured Streaming queries.
 
-A stream closes ten-minute windows in append mode and hands them to ``foreachBatch``, which
-stores them by window and runs the batch operators over the part of the stored history they
-need: the window before (traffic), the UTC day (top words), the last fired window (rising
-words). Stored rows belong to a window end, so a replayed batch leaves the same history.
+Every micro-batch goes to ``foreachBatch``. What it adds is stored under its batch number by window,
+and the windows it touches are computed anew from the stored rows with the batch operators:
+traffic also for the window after, top words to the end of the UTC day, rising words also for
+the window that fires next. Results replace those of the same window.
 
-A window closes when later messages move the watermark past its end, not by wall clock; rows
-that arrive more than the lateness behind are dropped.
+So every window comes out with the batch that brings its first message, late messages correct the
+windows they belong to however late they are, and a replayed batch replaces its own rows and
+leaves the same history. No window state is kept by the stream itself.
+
+History is foldered by UTC day. A job lists the day names and opens the days it needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -33,109 +36,89 @@ from pulse.operators.windows import (
     traffic_summary,
 )
 from pulse.schema import StreamParams
-from pulse.sources.sinks import (
-    append_windows,
-    land_posts,
-    overwrite_partitions,
-    write_snapshot,
-)
-from pulse.sources.store import read_or_empty
+from pulse.sources.sinks import land_posts, overwrite_partitions, overwrite_windows, write_snapshot
+from pulse.sources.store import day_names, read_days
 
 ONCE: Mapping[str, bool] = {"availableNow": True}
 EVERY_WINDOW: Mapping[str, str] = {"processingTime": "10 minutes"}
 
-WINDOW_ROWS = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("total_posts", T.LongType()),
-        T.StructField("window_day", T.DateType()),
-    ]
-)
+_BOUNDS = [
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("window_end", T.TimestampType()),
+]
+_DAY = T.StructField("window_day", T.DateType())
+_KEY = T.StructField("window_key", T.StringType())
+_BATCH = T.StructField("batch", T.LongType())
+WINDOW_ROWS = T.StructType([*_BOUNDS, T.StructField("total_posts", T.LongType()), _DAY, _KEY])
 COUNT_ROWS = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("token", T.StringType()),
-        T.StructField("cnt", T.LongType()),
-        T.StructField("window_day", T.DateType()),
-        T.StructField("window_key", T.StringType()),
-    ]
+    [*_BOUNDS, T.StructField("token", T.StringType()), T.StructField("cnt", T.LongType()), _DAY, _KEY]
 )
-COUNT_KEYS = ["window_day", "window_key"]
+PART_ROWS = T.StructType([*_BOUNDS, T.StructField("total_posts", T.LongType()), _DAY, _BATCH])
 TEN_MINUTES = timedelta(minutes=10)
+DAY = timedelta(days=1)
 
 
-def windows_of(spark: SparkSession, target: str) -> DataFrame:
-    """Stored windows of a job, each once even if a batch was replayed."""
-    rows = read_or_empty(spark, f"{target}/windows", WINDOW_ROWS)
-    return rows.groupBy("window_day", "window_start", "window_end").agg(
-        F.max("total_posts").alias("total_posts")
-    )
+def _key() -> Column:
+    return F.date_format("window_end", "yyyyMMddHHmm")
 
 
-def counts_of(spark: SparkSession, target: str) -> DataFrame:
-    """Stored word counts of a job."""
-    return read_or_empty(spark, f"{target}/counts", COUNT_ROWS)
+def windows_of(spark: SparkSession, target: str, first: date | None = None, last: date | None = None):
+    """Stored windows of a job, of some days or all."""
+    return read_days(spark, f"{target}/windows", WINDOW_ROWS, first, last)
 
 
-def store_counts(counts: DataFrame, target: str) -> None:
-    """Word counts, one folder per window; a replayed batch replaces its windows."""
-    keyed = counts.withColumns(
-        {
-            "window_day": F.to_date("window_end"),
-            "window_key": F.date_format("window_end", "yyyyMMddHHmm"),
-        }
-    )
-    overwrite_partitions(keyed.hint("rebalance", "window_key"), f"{target}/counts", COUNT_KEYS)
+def counts_of(spark: SparkSession, target: str, first: date | None = None, last: date | None = None):
+    """Stored word counts of a job, of some days or all."""
+    return read_days(spark, f"{target}/counts", COUNT_ROWS, first, last)
 
 
 def _at(when: datetime) -> Column:
     return F.lit(f"{when:%Y-%m-%d %H:%M:%S}").cast("timestamp")
 
 
-def _since(df: DataFrame, first: datetime, last: datetime) -> DataFrame:
-    """History rows from window end ``first`` to ``last``, other folders pruned."""
+def _between(read: Callable, spark: SparkSession, target: str, first: datetime, last: datetime) -> DataFrame:
+    """History rows from window end ``first`` to ``last``, other folders left closed."""
+    rows = read(spark, target, first.date(), last.date())
     inside = F.col("window_end").between(_at(first), _at(last))
-    inside &= F.col("window_day").between(F.lit(first.date()), F.lit(last.date()))
-    if "window_key" in df.columns:
+    if "window_key" in rows.columns:
         inside &= F.col("window_key").between(f"{first:%Y%m%d%H%M}", f"{last:%Y%m%d%H%M}")
-    return df.filter(inside).drop(*COUNT_KEYS)
+    return rows.filter(inside).drop("window_day", "window_key")
 
 
-def _utc(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMddHHmm")
+def _span(rows: DataFrame) -> tuple[datetime, datetime] | None:
+    """First and last window end as UTC wall time; None without windows."""
+    ends = rows.agg(*_span_columns()).first()
+    return _times(ends["a"], ends["b"])
 
 
-def _span(windows: DataFrame) -> tuple[datetime, datetime] | None:
-    """First and last window end of a batch as UTC wall time; None without windows."""
-    ends = windows.agg(
-        _utc(F.min("window_end")).alias("a"), _utc(F.max("window_end")).alias("b")
-    ).first()
-    if ends["a"] is None:
-        return None
-    return tuple(datetime.strptime(ends[k], "%Y%m%d%H%M") for k in ("a", "b"))
+def _span_columns() -> list[Column]:
+    """Least and greatest window end as text."""
+    return [F.min(_key()).alias("a"), F.max(_key()).alias("b")]
 
 
-def _fired_before(spark: SparkSession, target: str, first: datetime) -> datetime | None:
-    """End of the last stored window before ``first``, looked for in recent days first."""
-    earlier = windows_of(spark, target).filter(F.col("window_end") < _at(first))
-    recent = F.col("window_day") >= F.lit((first - timedelta(days=1)).date())
-    for rows in (earlier.filter(recent), earlier):
-        span = _span(rows)
-        if span is not None:
-            return span[1]
+def _times(*keys: str | None) -> tuple[datetime, ...] | None:
+    return None if keys[0] is None else tuple(datetime.strptime(k, "%Y%m%d%H%M") for k in keys)
+
+
+def _fired(spark: SparkSession, target: str, at: datetime, later: bool) -> datetime | None:
+    """End of the stored window next to ``at``, before or after it, from the nearest day that has one."""
+    days = [d for d in day_names(spark, f"{target}/windows") if (d >= at.date() if later else d <= at.date())]
+    ends = F.col("window_end")
+    for day in days if later else reversed(days):
+        rows = windows_of(spark, target, day, day).filter(ends > _at(at) if later else ends < _at(at))
+        if span := _span(rows):
+            return span[0 if later else 1]
     return None
 
 
 def _start(
-    closed: DataFrame,
+    rows: DataFrame,
     each: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: Mapping[str, object],
 ) -> StreamingQuery:
     return (
-        closed.writeStream.outputMode("append")
+        rows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(each)
         .trigger(**trigger)
@@ -143,73 +126,106 @@ def _start(
     )
 
 
-def close_traffic(batch: DataFrame, target: str) -> None:
-    """Store closed traffic windows and their snapshots."""
-    rows = batch.persist()  # the stream's plan runs once
-    try:
-        span = _span(rows)
-        if span is None:
-            return
-        append_windows(rows, f"{target}/windows")
-    finally:
-        rows.unpersist()
-    first, last = span
-    near = _since(windows_of(batch.sparkSession, target), first - TEN_MINUTES, last)
-    ends = _since(windows_of(batch.sparkSession, target), first, last).select("window_end")
-    now = traffic_summary(near).join(ends, "window_end", "left_semi")
+def add_traffic(batch: DataFrame, target: str, batch_id: int = 0, duration: str = "10 minutes") -> None:
+    """Add the message counts of a batch and write the snapshots they change."""
+    if batch.isEmpty():
+        return
+    spark, seen = batch.sparkSession, Observation()
+    rows = traffic_counts(batch, duration).withColumns(
+        {"window_day": F.to_date("window_end"), "batch": F.lit(batch_id).cast("long")}
+    )
+    overwrite_partitions(
+        rows.coalesce(1).observe(seen, *_span_columns()),  # one row a window
+        f"{target}/parts",
+        ["window_day", "batch"],
+    )
+    first, last = _times(seen.get["a"], seen.get["b"])
+
+    def parts(spark: SparkSession, target: str, first: date, last: date) -> DataFrame:
+        return read_days(spark, f"{target}/parts", PART_ROWS, first, last)
+
+    near = _between(parts, spark, target, first - TEN_MINUTES, last + TEN_MINUTES)
+    totals = near.groupBy("window_start", "window_end").agg(F.sum("total_posts").alias("total_posts"))
+    now = traffic_summary(totals, duration).filter(F.col("window_end") >= _at(first))
     write_snapshot(
-        now.select(
-            "total_posts", "prev_total_posts", "traffic_increase_rate", "window_end", "summary"
-        ),
+        now.select("total_posts", "prev_total_posts", "traffic_increase_rate", "window_end", "summary"),
         target,
         "traffic",
     )
 
 
-def close_tokens(
-    batch: DataFrame, target: str, params: StreamParams, top: bool = True, rising: bool = True
+def add_posts(
+    batch: DataFrame,
+    target: str,
+    params: StreamParams = StreamParams(),
+    batch_id: int = 0,
+    top: bool = True,
+    rising: bool = True,
 ) -> None:
-    """Count the words of closed windows, store them, then the snapshots of those windows.
+    """Add the posts of a batch, count its windows anew and write the snapshots they change.
 
-    All posts of a window arrive in the batch that closes it, so counting its words needs no
-    state of its own.
+    A post is tokenized once, when it arrives. Its words are stored with its arrival, so that the
+    first arrival of a url can be found again when more batches bring posts of the same window.
     """
-    spark = batch.sparkSession
-    rows = token_rows(batch).persist()  # the stream's plan runs once
-    try:
-        counts, windows = split_rows(rows)
-        span = _span(windows)
-        if span is None:
-            return
-        store_counts(counts, target)
-        append_windows(windows, f"{target}/windows")
-    finally:
-        rows.unpersist()
-    first, last = span
-    closed = _since(windows_of(spark, target), first, last)
+    if batch.isEmpty():
+        return
+    spark, seen = batch.sparkSession, Observation()
+    arrived = post_tokens(batch, params, ("ts", "msg_id")).select(
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        "url", "ts", "msg_id", "tokens",
+    )
+    keyed = arrived.withColumns(
+        {"window_day": F.to_date("window_end"), "window_key": _key(), "batch": F.lit(batch_id).cast("long")}
+    )
+    overwrite_partitions(
+        keyed.observe(seen, *_span_columns()).hint("rebalance", "window_key"),
+        f"{target}/posts",
+        ["window_day", "window_key", "batch"],
+    )
+    first, last = _times(seen.get["a"], seen.get["b"])
+    _count_windows(spark, target, keyed.schema, first, last)
     if top:
-        day = first.replace(hour=0, minute=0)
-        counts = _since(counts_of(spark, target), day, last)
-        if first == last:  # the usual case, without ranking the windows before
+        day, end = first.replace(hour=0, minute=0), last.replace(hour=0, minute=0) + DAY - TEN_MINUTES
+        closed = _between(windows_of, spark, target, first, end)
+        counts = _between(counts_of, spark, target, day, end)
+        if first == last and _span(closed) == (first, last):  # the usual case: one window, the newest
             ranked = top_tokens_latest(counts, closed, params.top_n)
         else:
             ranked = top_tokens(counts, closed, params.top_n, params.window)
-        write_snapshot(
-            top_snapshot(ranked, closed, params.top_n), target, "top", params.ttl_seconds
-        )
+        write_snapshot(top_snapshot(ranked, closed, params.top_n), target, "top", params.ttl_seconds)
     if rising:
-        start = _fired_before(spark, target, first) or first
-        near = _since(windows_of(spark, target), start, last)
+        start = _fired(spark, target, first, later=False) or first
+        end = _fired(spark, target, last, later=True) or last
         risen = rising_tokens(
-            _since(counts_of(spark, target), start, last),
-            near,
+            _between(counts_of, spark, target, start, end),
+            _between(windows_of, spark, target, start, end),
             params.top_n,
             params.min_count,
             params.min_delta,
-        ).join(closed.select("window_end"), "window_end", "left_semi")
-        write_snapshot(
-            rising_snapshot(risen, closed, params.top_n), target, "rising", params.ttl_seconds
         )
+        closed = _between(windows_of, spark, target, first, end)
+        risen = risen.join(closed.select("window_end"), "window_end", "left_semi")
+        write_snapshot(rising_snapshot(risen, closed, params.top_n), target, "rising", params.ttl_seconds)
+
+
+def _count_windows(
+    spark: SparkSession, target: str, schema: T.StructType, first: datetime, last: datetime
+) -> None:
+    """Word counts and totals of the windows in the span, from all posts stored for them."""
+    def posts(spark: SparkSession, target: str, first: date, last: date) -> DataFrame:
+        return read_days(spark, f"{target}/posts", schema, first, last)
+
+    stored = _between(posts, spark, target, first, last)
+    window = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
+    once = stored.groupBy(window.alias("w"), "url").agg(F.min_by("tokens", F.struct("ts", "msg_id")).alias("tokens"))
+    rows = token_rows(once).persist()  # written as two tables
+    try:
+        counts, windows = split_rows(rows)
+        overwrite_windows(counts, f"{target}/counts")
+        overwrite_windows(windows, f"{target}/windows")
+    finally:
+        rows.unpersist()
 
 
 def run_traffic(
@@ -220,8 +236,9 @@ def run_traffic(
     trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Traffic per window. ``messages`` needs ``ts`` only."""
-    closed = traffic_counts(messages.withWatermark("ts", params.lateness), params.window)
-    return _start(closed, lambda df, _: close_traffic(df, target), checkpoint, trigger)
+    return _start(
+        messages.select("ts"), lambda df, i: add_traffic(df, target, i, params.window), checkpoint, trigger
+    )
 
 
 def run_trends(
@@ -234,9 +251,8 @@ def run_trends(
     rising: bool = True,
 ) -> StreamingQuery:
     """Top and rising words from one pass over the messages."""
-    closed = post_tokens(messages.withWatermark("ts", params.lateness), params)
     return _start(
-        closed, lambda df, _: close_tokens(df, target, params, top, rising), checkpoint, trigger
+        messages, lambda df, i: add_posts(df, target, params, i, top, rising), checkpoint, trigger
     )
 
 

@@ -77,6 +77,11 @@ def test_retry_merge(spark):
     assert sorted(tuple(r) for r in merged.collect()) == [("a", "A"), ("b", "B")]
     assert sorted(tuple(r) for r in still.collect()) == [("c", "again"), ("d", "e")]
     assert {r["kind"]: r["rows"] for r in summary.collect()} == {"posts": 2, "failures": 2}
+    # repeated attempts: a success counts once, two failures are one
+    more = [("b", "B", None), ("b", "B2", None), ("b", None, "again"), ("c", None, "x"), ("c", None, "again")]
+    merged, still, _ = g.retry_merge(kept, failed, spark.createDataFrame(more, retried.schema))
+    assert sorted(tuple(r) for r in merged.collect()) == [("a", "A"), ("b", "B")]
+    assert sorted(tuple(r) for r in still.collect()) == [("c", "again"), ("d", "e")]
 
 
 @pytest.mark.parametrize(
@@ -164,6 +169,7 @@ def test_collect_joins_search_results_and_pages(spark):
     ).withColumn("discovered_at", F.lit("now"))
     pages = spark.createDataFrame(
         [("https://m.blog.example.com/me/1", "<div class=post_ct>body</div>"),
+         ("https://m.blog.example.com/me/1", "<div class=post_ct>body again</div>"),
          ("https://m.blog.example.com/me/3", "<title>Page</title>")],
         "url string, html string",
     )

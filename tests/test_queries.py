@@ -2,11 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, connect
+from pulse.checks.oracles import ORACLES
+from pulse.checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
+
 
 
 @pytest.fixture(scope="module")

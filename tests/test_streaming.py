@@ -1,6 +1,7 @@
 import json
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulse.operators import windows as w
@@ -9,11 +10,11 @@ from pulse.operators.serve import decode, encode
 from pulse.schema import POST, RISING_SNAPSHOT, TOP_SNAPSHOT, TRAFFIC_SNAPSHOT, StreamParams
 from pulse.sources.readers import MESSAGE_ROW, read_dashboard, read_posts_stream, read_snapshot
 from pulse.sources.sinks import SNAPSHOT_ROW
-from pulse.sources.store import read_or_empty
+from pulse.sources.store import day_names, read_or_empty
 from pulse.streaming import jobs
 
 START = datetime(2024, 1, 1, 23, 30, tzinfo=UTC)
-PARAMS = StreamParams(lateness="0 seconds", top_n=3, min_count=2, min_delta=1)
+PARAMS = StreamParams(top_n=3, min_count=2, min_delta=1)
 
 
 def message(url, text):
@@ -44,25 +45,28 @@ def history(spark, target, name, schema):
     return [tuple(r) for r in decode(rows, schema).orderBy("window_end").collect()]
 
 
-def batch_rows(spark, rows):
+def batch_rows(spark, rows, first_id=0):
     df = spark.createDataFrame(
-        [(v, START + timedelta(seconds=s), i) for i, (s, v) in enumerate(rows)], MESSAGE_ROW
+        [(v, START + timedelta(seconds=s), first_id + i) for i, (s, v) in enumerate(rows)], MESSAGE_ROW
     )
     return decode_messages(df)
 
 
-def expected(spark, rows, closed_before):
+def expected(spark, rows):
     messages = batch_rows(spark, rows)
     counts, windows = w.window_token_counts(messages, PARAMS), w.window_posts(messages)
-    closed = windows.filter(F.col("window_end") <= F.lit(closed_before))
-    top = w.top_snapshot(w.top_tokens(counts, windows, 3), closed, 3)
-    risen = w.rising_snapshot(w.rising_tokens(counts, windows, 3, 2, 1), closed, 3)
+    top = w.top_snapshot(w.top_tokens(counts, windows, 3), windows, 3)
+    risen = w.rising_snapshot(w.rising_tokens(counts, windows, 3, 2, 1), windows, 3)
     return tuple(
         [tuple(r) for r in decode(encode(df), schema).orderBy("window_end").collect()]
         for df, schema in ((top, TOP_SNAPSHOT), (risen, RISING_SNAPSHOT))
     )
 
 
+def both(spark, target):
+    return tuple(history(spark, target, n, x) for n, x in (("top", TOP_SNAPSHOT), ("rising", RISING_SNAPSHOT)))
+
+
 def run_trends(spark, source, target):
     stream = decode_messages(read_posts_stream(spark, "parquet", {"path": source}))
     jobs.run_trends(stream, target, f"{target}/checkpoint", PARAMS).awaitTermination()
@@ -74,9 +78,8 @@ def test_trends_over_a_restart_equal_the_batch_result(spark, tmp_path):
     run_trends(spark, source, target)
     write(spark, source, SECOND, 100)
     run_trends(spark, source, target)  # a new query on the same checkpoint
-    last = START + timedelta(seconds=9000)
-    top, rising = expected(spark, FIRST + SECOND, last)
-    assert len(top) == 5 and any(items for *_, items in rising)
+    top, rising = expected(spark, FIRST + SECOND)
+    assert len(top) == 6 and any(items for *_, items in rising)
     assert history(spark, target, "top", TOP_SNAPSHOT) == top
     assert history(spark, target, "rising", RISING_SNAPSHOT) == rising
     newest = read_snapshot(spark, target, "top").first()
@@ -88,8 +91,8 @@ def test_trends_over_a_restart_equal_the_batch_result(spark, tmp_path):
 def test_dashboard_of_stored_snapshots(spark, tmp_path):
     target = str(tmp_path)
     assert read_dashboard(spark, target).collect() == []
-    jobs.close_tokens(w.post_tokens(batch_rows(spark, FIRST), PARAMS), target, PARAMS)
-    jobs.close_traffic(w.traffic_counts(batch_rows(spark, FIRST)), target)
+    jobs.add_posts(batch_rows(spark, FIRST), target, PARAMS)
+    jobs.add_traffic(batch_rows(spark, FIRST), target)
     row = read_dashboard(spark, target, limit=1).first()
     assert row["traffic"]["total_posts"] == 3 and row["top"]["total_posts"] == 3
     assert [i["token"] for i in row["top"]["items"]] == ["spark"]
@@ -113,31 +116,48 @@ def test_processing_time_puts_old_messages_in_the_present(spark, tmp_path):
 
 def test_a_replayed_batch_leaves_the_same_history(spark, tmp_path):
     target = str(tmp_path)
-    posts = w.post_tokens(batch_rows(spark, FIRST), PARAMS)
-    jobs.close_tokens(posts, target, PARAMS)
-    counts = sorted(jobs.counts_of(spark, target).collect())
-    windows = sorted(jobs.windows_of(spark, target).collect())
-    jobs.close_tokens(posts, target, PARAMS)
-    assert sorted(jobs.counts_of(spark, target).collect()) == counts
-    assert sorted(jobs.windows_of(spark, target).collect()) == windows
-    top = history(spark, target, "top", TOP_SNAPSHOT)
-    assert sorted(set(map(str, top))) == sorted(map(str, top[::2]))
-
-
-def test_windows_closed_one_by_one_equal_all_at_once(spark, tmp_path):
-    messages = batch_rows(spark, FIRST + SECOND)
-    posts = w.post_tokens(messages, PARAMS)
-    together, single = str(tmp_path / "a"), str(tmp_path / "b")
-    jobs.close_tokens(posts, together, PARAMS)
-    for r in w.window_posts(messages).orderBy("window_end").select(F.unix_timestamp("window_end")).collect():
-        jobs.close_tokens(posts.filter(F.unix_timestamp("w.end") == r[0]), single, PARAMS)
-    for name, schema in (("top", TOP_SNAPSHOT), ("rising", RISING_SNAPSHOT)):
-        assert history(spark, together, name, schema) == history(spark, single, name, schema)
+    for batch, rows in ((0, FIRST), (1, SECOND), (1, SECOND), (0, FIRST)):
+        jobs.add_posts(batch_rows(spark, rows), target, PARAMS, batch)
+        jobs.add_traffic(batch_rows(spark, rows), target, batch)
+        if batch == 1:
+            seen = (
+                both(spark, target), sorted(jobs.counts_of(spark, target).collect()),
+                sorted(jobs.windows_of(spark, target).collect()), history(spark, target, "traffic", TRAFFIC_SNAPSHOT),
+            )
+    assert seen == (
+        both(spark, target), sorted(jobs.counts_of(spark, target).collect()),
+        sorted(jobs.windows_of(spark, target).collect()), history(spark, target, "traffic", TRAFFIC_SNAPSHOT),
+    )
+    assert seen[0] == expected(spark, FIRST + SECOND)
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_batches_in_any_order_equal_all_at_once(spark, tmp_path, order):
+    rows, target = FIRST + SECOND, str(tmp_path)
+    cut = [rows[i : i + 3] for i in range(0, len(rows), 3)]
+    for i, part in list(enumerate(cut))[::order]:
+        jobs.add_posts(batch_rows(spark, part, 3 * i), target, PARAMS, i)
+        jobs.add_traffic(batch_rows(spark, part, 3 * i), target, i)
+    assert both(spark, target) == expected(spark, rows)
+    got = history(spark, target, "traffic", TRAFFIC_SNAPSHOT)
+    assert [(g[0], g[1]) for g in got] == [(3, 0), (1, 3), (3, 1), (2, 3), (1, 2), (1, 0)]
+
+
+def test_only_the_days_needed_are_opened(spark, tmp_path):
+    target = str(tmp_path)
+    for day in (3, 2, 1, 0):
+        rows = [(86_400 * day + s, m) for s, m in FIRST[:3]]
+        jobs.add_posts(batch_rows(spark, rows), target, PARAMS, day)
+    assert [d.day for d in day_names(spark, f"{target}/windows")] == [1, 2, 3, 4]
+    days = jobs.counts_of(spark, target, date(2024, 1, 3), date(2024, 1, 3)).inputFiles()
+    assert days and all("window_day=2024-01-03" in f for f in days)
+    files = read_snapshot(spark, target, "top").inputFiles()
+    assert files and all("window_day=2024-01-04" in f for f in files)
 
 
 def test_an_empty_batch_stores_nothing(spark, tmp_path):
-    empty = w.post_tokens(batch_rows(spark, []), PARAMS)
-    jobs.close_tokens(empty, str(tmp_path), PARAMS)
+    jobs.add_posts(batch_rows(spark, []), str(tmp_path), PARAMS)
+    jobs.add_traffic(batch_rows(spark, []), str(tmp_path))
     assert jobs.windows_of(spark, str(tmp_path)).collect() == []
 
 
@@ -153,9 +173,9 @@ def test_traffic_counts_malformed_messages_and_looks_ten_minutes_back(spark, tmp
     write(spark, source, SECOND, 100)
     run()
     got = history(spark, target, "traffic", TRAFFIC_SNAPSHOT)
-    assert [(g[0], g[1]) for g in got] == [(3, 0), (1, 3), (3, 1), (2, 3), (1, 2)]
+    assert [(g[0], g[1]) for g in got] == [(3, 0), (1, 3), (3, 1), (2, 3), (1, 2), (1, 0)]
     assert got[1][2] == -2 / 3 * 100.0
-    assert tuple(read_snapshot(spark, target, "traffic").first())[:2] == (1, 2)
+    assert tuple(read_snapshot(spark, target, "traffic").first())[:2] == (1, 0)
 
 
 def test_landing_over_two_runs(spark, tmp_path):
@@ -190,10 +210,13 @@ def test_dead_letters_of_a_stream(spark, tmp_path):
     assert [r["value"] for r in spark.read.parquet(out).collect()] == ["{broken"]
 
 
-def test_late_rows_are_dropped_after_the_lateness(spark, tmp_path):
+def test_late_rows_correct_their_window(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    write(spark, source, [(0, message("a", "news")), (1300, message("b", "news"))])
+    rows = [(0, message("a", "news")), (1300, message("b", "news"))]
+    late = [(10, message("c", "news")), (9000, message("z", "end"))]
+    write(spark, source, rows)
     run_trends(spark, source, target)
-    write(spark, source, [(10, message("c", "news")), (9000, message("z", "end"))], 100)
+    write(spark, source, late, 100)
     run_trends(spark, source, target)
-    assert [t[2] for t in history(spark, target, "top", TOP_SNAPSHOT)] == [1, 1]
+    assert both(spark, target) == expected(spark, rows + late)
+    assert [t[2] for t in history(spark, target, "top", TOP_SNAPSHOT)] == [2, 1, 1]

@@ -207,3 +207,24 @@ def test_snapshots_are_nested_ranked_and_rounded(spark):
     assert top[1]["top_n"] == 2
     risen = w.rising_snapshot(w.rising_tokens(counts, windows, 2, 50), windows, 2).collect()
     assert [r["items"] for r in risen] == [[], []]
+
+
+def test_latest_plans_filter_times_before_tokenizing(spark):
+    from pulse.plans import trends
+
+    day = datetime(2024, 1, 1, 22, 0, tzinfo=UTC)
+    rows = [(day + timedelta(minutes=10 * i), i, f"u{i}", None, f"common word{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "ts timestamp, msg_id long, url string, title string, content_text string")
+    p = StreamParams(min_count=1, min_delta=0)
+    assert trends.last_windows(df, 2, p) == ["2024-01-02 01:10:00", "2024-01-02 01:00:00"]
+    for latest, history in ((trends.top_latest, trends.top), (trends.rising_latest, trends.rising)):
+        whole = history(df, p)
+        last = whole.agg(F.max("window_end")).first()[0]
+        want = whole.filter(F.col("window_end") == F.lit(last)).collect()
+        assert sorted(map(str, latest(df, p).collect())) == sorted(map(str, want))
+    # counted words: those of the kept windows alone
+    near = trends.top_latest(df, p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ts" in near and near.count("regexp_extract_all") >= 1
+    assert near.index("regexp_extract_all") < near.index(">=")  # the filter stands below
+    assert trends.top_latest(df.limit(0), p).collect() == []
+    assert trends.rising_latest(df.limit(0), p).collect() == []
