@@ -323,7 +323,7 @@ def calibrate(rated: DataFrame, labels: DataFrame) -> tuple[float, list[float]]
     )
     if rows.select("label").distinct().count() < 2:
         return None
-    fit = LogisticRegression(regParam=1e-3, maxIter=50).fit(rows)
+    fit = LogisticRegression(regParam=1e-5, maxIter=50).fit(rows)
     return float(fit.intercept), [float(x) for x in fit.coefficients]
 
 
