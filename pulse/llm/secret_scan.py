@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.llm.stored import stored
 from pulse.sources.store import read_or_empty
 
 
@@ -107,7 +108,8 @@ def scan_blobs(pending: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
         for r in rules
     ])
     each = pending.select("blob", F.explode(F.filter(scans, lambda s: s.isNotNull())).alias("scan"))
-    flat = each.select("blob", "scan.kind", "scan.version", "scan.least", "scan.pieces")
+    # lengths alone, written so that the texts are searched once for both ways below
+    flat = stored(each.select("blob", "scan.kind", "scan.version", "scan.least", "scan.pieces"), "matches")
     # the end of a match is the sum of the steps up to it: add them up while walking the pieces
     ends = F.aggregate(
         "pieces",
