@@ -11,13 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as whitespace, as pure laughing or crying, and as a kept character.
+# What counts as whitespace, as pure laughing or crying, as a kept character, as a link,
+# as a url or an e-mail address in a post.
 WHITESPACE = r"\s\x1c-\x1f\x85\p{Z}"
 LAUGH_CRY = "ㅋㅎㅠㅜ"
 # ASCII letters and digits, Hangul syllables. Java runs the named class much faster than ranges.
 KEPT = r"\p{Alnum}가-힣"
 LINK = r"https?://\S+"
 URL = rf"(?i)(https?://[^{WHITESPACE}]+|www\.[^{WHITESPACE}]+)"
+# What the older cleaning blanks: a marked link, a backslash with its letters, any other character.
+BLANKED_AS_WRITTEN = rf"https?://\\S+|\\s+|[^{KEPT}\\]"
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 STRIP_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -107,14 +110,12 @@ def tokens_stream(
 def clean_text(title: Column, body: Column, as_written: bool = False) -> Column:
     """Title and body as one line of ASCII letters, digits and Hangul syllables.
 
-    ``as_written`` keeps the behaviour of doubly escaped patterns: links survive as
-    words, blank runs stay, and a backslash is a kept character.
+    ``as_written`` is the older behaviour: links survive as words, blank runs stay, and a backslash
+    is a kept character unless small s letters follow it, which go with it.
     """
     text = joined_text(title, body)
     if as_written:
-        text = F.regexp_replace(text, r"https?://\\S+", " ")
-        text = F.regexp_replace(text, rf"[^{KEPT}\\]", " ")
-        return F.trim(F.regexp_replace(text, r"\\s+", " "))
+        return F.trim(F.regexp_replace(text, BLANKED_AS_WRITTEN, " "))
     text = F.regexp_replace(text, LINK, " ")
     return F.trim(F.regexp_replace(text, rf"[^{KEPT}]+", " "))
 

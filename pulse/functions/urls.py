@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
+import json
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulse.functions.text import strip
 
@@ -73,6 +72,7 @@ def mobile_url(
     passes through.
     """
     target = mobile_host or "m." + host.replace("\\", "")
+    # Where a link names the blog and the post number.
     by_query = rf"{id_keys[0]}=([^&]+).*{id_keys[1]}=(\d+)"
     by_path = rf"(?:{host})/([^/?]+)/(\d+)"
 
@@ -91,15 +91,65 @@ def mobile_url(
     return _bind(normalize_url(c, keep_keys), canonical)
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+# References as HTML reads them, and everything between them.
+REFERENCES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
 
 
-def plain_title(c: Column) -> Column:
-    """Title without tags and with entities decoded; an empty title is null.
+def _names() -> str:
+    """Entity names of the standard library as a JSON object."""
+    return json.dumps(html.entities.html5)
 
-    Only titles that hold an ampersand travel to Python.
-    """
-    text = F.regexp_replace(F.when(c != "", c), r"<[^>]+>", "")
-    return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
+
+def _short_names() -> str:
+    """Names that count without a semicolon, even as the start of a longer word."""
+    short = [n for n in html.entities.html5 if not n.endswith(";")]
+    return "|".join(sorted(short, key=len, reverse=True))
+
+
+def _character(n: Column) -> Column:
+    """The character of a number; what HTML replaces or drops is replaced or dropped."""
+    control = F.when(n == 13, "\r")
+    for code in range(0x80, 0xA0):  # read as the Windows code page
+        control = control.when(n == code, bytes([code]).decode("cp1252", "ignore") or chr(code))
+    dropped = n.between(1, 8) | n.between(14, 31) | (n == 11) | (n == 127) | n.between(0xFDD0, 0xFDEF)
+    dropped |= (n % 0x10000).isin(0xFFFE, 0xFFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (
+        F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd")
+        .when((n == 13) | n.between(0x80, 0x9F), control)
+        .when(dropped, "")
+        .otherwise(plain)
+    )
+
+
+def decode_entities(c: Column) -> Column:
+    """Text with character references decoded, named ones and numbers, as browsers read them."""
+    names = F.from_json(F.lit(_names()), "map<string,string>")
+
+    def decoded(p: Column) -> Column:
+        digits = F.regexp_extract(p, r"^&#([0-9]+)", 1)
+        hexed = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+)", 1)
+        # ten digits are beyond all characters, and so is anything longer
+        number = F.when(F.length(digits) < 12, digits.cast("long"))
+        from_hex = F.when(F.length(hexed) < 12, F.conv(hexed, 16, 10).cast("long"))
+        named = F.element_at(names, F.substring(p, 2, 64))
+        short = F.regexp_extract(p, f"^&({_short_names()})", 1)
+        rest = F.substr(p, F.length(short) + 2)
+        return (
+            F.when(digits != "", _character(number))
+            .when(hexed != "", _character(from_hex))
+            .when(named.isNotNull(), named)
+            .when(short != "", F.concat(F.element_at(names, short), rest))
+            .otherwise(p)
+        )
+
+    parts = F.transform(
+        F.regexp_extract_all(c, F.lit(REFERENCES), F.lit(0)),
+        lambda p: F.when(p.startswith("&"), decoded(p)).otherwise(p),
+    )
+    return F.when(c.contains("&"), F.array_join(parts, "")).otherwise(c)
+
+
+def plain_title(c: Column) -> Column:
+    """Title without tags and with entities decoded; an empty title is null."""
+    return decode_entities(F.regexp_replace(F.when(c != "", c), r"<[^>]+>", ""))

@@ -16,6 +16,10 @@ from pulse.functions.text import (
     has_words,
     tokens_batch,
 )
+from pulse.schema import CLEANED_DOC
+
+# Tags of the forms an analyzer's tokens are taken from.
+NOUN_TAGS = ("NNG", "NNP", "NNB", "NR", "NP", "SL")
 
 
 def process_dates(run_date: date, days: int, rebuild: bool) -> list[date]:
@@ -77,17 +81,8 @@ def cleaned_docs(
         docs = filter_dates(docs, dates)
     texts = F.col("title"), F.col("content_text")
     docs = docs.filter(has_words(*texts, as_written))
-    return docs.withColumn("cleaned_text", clean_text(*texts, as_written)).select(
-        "doc_id",
-        "url",
-        "doc_date",
-        "date_source",
-        "postdate",
-        "discovered_at",
-        "title",
-        "content_text",
-        "cleaned_text",
-    )
+    cleaned = docs.withColumn("cleaned_text", clean_text(*texts, as_written))
+    return cleaned.select(*CLEANED_DOC.names)
 
 
 def tokenize(
@@ -97,7 +92,7 @@ def tokenize(
     words: Sequence[str] = (),
     min_len: int = 2,
     max_len: int = 20,
-    tags: Sequence[str] = ("NNG", "NNP", "NNB", "NR", "NP", "SL"),
+    tags: Sequence[str] = NOUN_TAGS,
     text: str = "cleaned_text",
 ) -> DataFrame:
     """Add the array ``tokens``.

@@ -169,7 +169,7 @@ def test_collect_joins_search_results_and_pages(spark):
     ).withColumn("discovered_at", F.lit("now"))
     pages = spark.createDataFrame(
         [("https://m.blog.example.com/me/1", "<div class=post_ct>body</div>"),
-         ("https://m.blog.example.com/me/1", "<div class=post_ct>body again</div>"),
+         ("https://m.blog.example.com/me/1", "<div class=post_ct>body~again</div>"),
          ("https://m.blog.example.com/me/3", "<title>Page</title>")],
         "url string, html string",
     )
@@ -179,3 +179,18 @@ def test_collect_joins_search_results_and_pages(spark):
     assert [r["url"][-1] for r in failed.collect()] == ["4"]
     capped, _ = collect(found, pages, r"blog\.example\.com", ["n"], max_fetch=1)
     assert capped.count() == 1
+
+
+def test_entities_are_decoded_as_browsers_do(column):
+    import html
+    import random
+
+    rng = random.Random(5)
+    parts = [
+        "&", "&amp;", "&lt", "&gt;", "&notit;", "&notin;", "&ampx", "&#65;", "&#x41", "&#X1F642;", "&#0;", "&#13;",
+        "&#128;", "&#x81;", "&#xD800;", "&#99999999999999999999;", "&#1;", "&#xFFFE;", "&NotEqualTilde;", "&copy=1",
+        "&unknown;", "&;", "&#;", "&#x;", "é", " ", "x", ";", "&quot;", "&nbsp;", "&fjlig;", "&AMP", "&#1114111;",
+    ]
+    texts = parts + ["".join(rng.choices(parts, k=6)) for _ in range(300)] + ["", None]
+    got = column(texts, urls.decode_entities(X))
+    assert got == [None if t is None else html.unescape(t) for t in texts]

@@ -74,7 +74,7 @@ def test_title_and_body_are_joined_and_null_is_empty(spark):
 
 def test_cap_comes_after_filtering_and_before_distinct(column):
     text = " ".join(["no"] + ["same"] * 299 + [f"w{i}" for i in range(5)])
-    tokens = t.tokens_stream(NONE, X, ["no"])
+    tokens = t.tokens_stream(NONE, X, ["no"], cap=300)
     assert column([text], F.size(tokens)) == [300]
     assert column([text], t.distinct_tokens(tokens)) == [["same", "w0"]]
     assert column([text], F.size(t.tokens_stream(NONE, X, cap=None))) == [305]
