@@ -10,13 +10,17 @@ similarity is 0.75 or more.
    agrees on T of K (a linked pair misses that with a chance below 1e-6). Such a pair must share
    one of the K - T + 1 rarest coordinates of each class, so only those are posted: frequent values
    are skipped as long as a class has enough rare ones.
-4. Collisions are counted for pairs under a common posting, and candidates are confirmed on full sets.
-   Big lists never give all pairs: first every class meets only the smallest class of each of its
-   lists, of these the one it agrees with most; what this links is merged. Lists that still
-   hold several components are compared block by block, first each class with the best match
-   in every other component, then, after merging again, whatever candidates are left between
-   components. Pairs inside a component need no test, so no link between components is lost.
-5. Components of the confirmed links give the groups.
+4. Shingles that no other posted class has cannot be shared. What is left of each set bounds the
+   similarity of every pair from above, so classes with many edits of their own need no test.
+5. Collisions are counted for pairs under a common posting, and candidates are confirmed on full sets.
+   Big lists never give all pairs: first every class meets only the most central class of each of
+   its lists, the one with the smallest share of shingles of its own, and of these the one it
+   agrees with most. A component and the classes whose centre lies in it are a family; those not
+   linked are compared with the rest of it on full sets, block by block, and only links come out. Lists that
+   still hold several components and families are then compared block by block, first each class
+   with the best match in every other component, then, after merging again, whatever candidates
+   are left. Pairs inside a component need no test, so no link between components is lost.
+6. Components of the confirmed links give the groups.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; a null doc_id has
 no component and is kept; rows that repeat a doc_id are that document given again; an empty table
@@ -41,6 +45,7 @@ PERCENT = 75
 K = 48
 T = 20
 BLOCK = 1024
+FAMILY_BLOCK = 256
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, signature array<int>"
 
@@ -123,19 +128,53 @@ def shared_postings(classes: DataFrame) -> DataFrame:
     return rare.select("p.key", "id")
 
 
+def texts_to_sets(postings: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, shingles) of the posted classes; only texts that take part are shuffled."""
+    ids = postings.select("id").distinct()
+    rows = _rows(docs).withColumnRenamed("doc_id", "id")
+    texts = only(rows, "id", ids).join(ids.hint("shuffle_hash"), "id", "left_semi").dropDuplicates(["id"])
+    return texts.mapInArrow(_sets, "id long, shingles array<long>")
+
+
+def shareable(sets: DataFrame) -> DataFrame:
+    """(id, size, shared): how many shingles of a class some other posted class has as well."""
+    alone = (
+        sets.select("id", F.explode("shingles").alias("s"))
+        .groupBy("s")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+        .filter("n = 1")
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+    size = F.size("shingles").cast("long")
+    own = F.coalesce("own", F.lit(0))
+    return sets.join(alone, "id", "left").select("id", size.alias("size"), (size - own).alias("shared"))
+
+
 def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the number of coordinates they agree on, where that is at least T."""
-    left = classes.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
-    right = classes.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
-    equal: Column = F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e)
+    """Pairs (a, b) that may be similar enough, with the number of coordinates they agree on."""
+    left = classes.select(*[F.col(c).alias(f"{c}_a") for c in classes.columns])
+    right = classes.select(*[F.col(c).alias(f"{c}_b") for c in classes.columns])
+    equal: Column = F.filter(F.zip_with("signature_a", "signature_b", lambda x, y: x == y), lambda e: e)
+    most = F.least("shared_a", "shared_b")
     return (
-        pairs.join(left, "a").join(right, "b").select("a", "b", F.size(equal).alias("agree")).filter(f"agree >= {T}")
+        pairs.join(left, F.col("a") == F.col("id_a"))
+        .join(right, F.col("b") == F.col("id_b"))
+        .filter(100 * most >= PERCENT * (F.col("size_a") + F.col("size_b") - most))
+        .select("a", "b", F.size(equal).alias("agree"))
+        .filter(f"agree >= {T}")
     )
 
 
 def hub_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each class with one candidate: of the smallest classes of its lists, the most agreeing one."""
-    hubs = postings.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Each class with one candidate: of the most central classes of its lists, the most agreeing one."""
+    central = classes.select("id", (F.col("shared") / F.col("size")).alias("central"))
+    hubs = (
+        postings.join(central, "id")
+        .groupBy("key")
+        .agg(F.max_by("id", F.struct("central", -F.col("id"))).alias("a"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+    )
     met = postings.join(hubs.hint("shuffle_hash"), "key").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
     best = F.max_by("a", F.struct("agree", -F.col("a")))
     return agreeing(met, classes).groupBy("b").agg(best.alias("a")).select("a", "b")
@@ -144,13 +183,18 @@ def hub_pairs(postings: DataFrame, classes: DataFrame) -> DataFrame:
 def _compare(best_only: bool):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         i, j = (key[n].as_py() for n in (1, 2))
-        ids, comps, block = (table.column(n).to_numpy() for n in ("id", "comp", "block"))
+        ids, comps, block, size, shared, family = (
+            table.column(n).to_numpy() for n in ("id", "comp", "block", "size", "shared", "family")
+        )
         signature = np.array(table.column("signature").combine_chunks().flatten()).reshape(-1, K)
         x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
         agree = np.zeros((len(x), len(y)), np.uint8)
         for k in range(K):
             agree += signature[x, k][:, None] == signature[y, k][None, :]
-        open_ = (agree >= T) & (comps[x][:, None] != comps[y][None, :])
+        most = np.minimum(shared[x][:, None], shared[y][None, :])
+        near = 100 * most >= PERCENT * (size[x][:, None] + size[y][None, :] - most)
+        open_ = (agree >= T) & near & (comps[x][:, None] != comps[y][None, :])
+        open_ &= family[x][:, None] != family[y][None, :]
         if i == j:
             open_ &= ids[x][:, None] < ids[y][None, :]
         a, b = np.nonzero(open_)
@@ -170,10 +214,10 @@ def _compare(best_only: bool):
 
 
 def open_pairs(postings: DataFrame, classes: DataFrame, roots: DataFrame, best_only: bool) -> DataFrame:
-    """Candidate pairs between different components, from lists that hold several components.
+    """Candidate pairs between different components and families, from lists that hold several.
 
     Lists are compared in blocks of about BLOCK classes against each other, so no task sees a list
-    whole. Only pairs that agree on T coordinates come out.
+    whole. Only pairs that agree on T coordinates and may be similar enough come out.
     """
     named = postings.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "key", "id", F.coalesce("root", "id").alias("comp")
@@ -191,45 +235,119 @@ def open_pairs(postings: DataFrame, classes: DataFrame, roots: DataFrame, best_o
     dealt = rows.withColumn("other", other).select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp"
     )
-    signed = dealt.join(classes.select("id", "signature"), "id")
+    signed = dealt.join(classes, "id")
     return signed.groupBy("key", "i", "j").applyInArrow(_compare(best_only), "a long, b long").distinct()
 
 
+def _family_links(key: tuple, table: pa.Table) -> pa.Table:
+    """Links of two blocks of a family, reduced to one for each class and component found."""
+    i, j = (key[n].as_py() for n in (1, 2))
+    ids, block, linked = (table.column(n).to_numpy(zero_copy_only=False) for n in ("id", "block", "linked"))
+    x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if linked.all():
+        return none
+    sets = table.column("shingles").combine_chunks()
+    sizes = np.diff(sets.offsets.to_numpy())
+    values, at = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    often = np.bincount(at) > 1  # a shingle of one class adds to no intersection
+    place = np.cumsum(often) - 1
+    row = np.repeat(np.arange(len(ids)), sizes)
+    keep = often[at]
+    width = -(-int(often.sum()) // 64) or 1
+    bits = np.zeros((len(ids), width * 64), bool)
+    bits[row[keep], place[at[keep]]] = True
+    bits = np.packbits(bits, axis=1).view(np.uint64)
+    near = np.zeros((len(ids), len(ids)), bool)
+    for a in x:
+        other = y if not linked[a] else y[~linked[y]]
+        both = np.bitwise_count(bits[a] & bits[other]).sum(axis=1, dtype=np.int64)
+        near[a, other] = 100 * both >= PERCENT * (sizes[a] + sizes[other] - both)
+    near |= near.T
+    label = np.arange(len(ids))
+    while True:  # the smallest row reachable
+        least = np.where(near, label[None, :], len(ids)).min(axis=1)
+        new = np.minimum(label, least)
+        if (new == label).all():
+            break
+        label = new
+    member = np.flatnonzero(label != np.arange(len(ids)))
+    left, right = ids[member], ids[label[member]]
+    other = left != right
+    left, right = left[other], right[other]
+    return pa.table({"a": np.minimum(left, right), "b": np.maximum(left, right)})
+
+
+def families_of(ids: DataFrame, confirmed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, family, linked): the component of each class's centre, and whether it is its own."""
+    own = roots.select(F.col("node").alias("id"), F.col("root").alias("own"))
+    centre = roots.select(F.col("node").alias("a"), F.col("root").alias("far"))
+    of_centre = confirmed.join(centre, "a", "left").select(
+        F.col("b").alias("id"), F.coalesce("far", "a").alias("family")
+    )
+    root = F.coalesce("own", "id")
+    return (
+        ids.join(own, "id", "left")
+        .join(of_centre, "id", "left")
+        .select("id", F.coalesce("family", root).alias("family"), root.alias("root"))
+        .select("id", "family", (F.col("family") == F.col("root")).alias("linked"))
+    )
+
+
+def family_links(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) within families of which some classes are not linked.
+
+    Only links come out, in a number that follows the number of classes.
+    """
+    members = families.withColumnRenamed("family", "hub")
+    torn = members.filter("not linked").select("hub").distinct()
+    members = members.join(torn.hint("shuffle_hash"), "hub", "left_semi")
+    blocks = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK).cast("int").alias("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = (
+        members.join(blocks.hint("shuffle_hash"), "hub")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", other)
+        .select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                "block", "id", "linked")
+    )
+    full = dealt.join(only(sets, "id", members.select("id")), "id")
+    return full.groupBy("hub", "i", "j").applyInArrow(_family_links, "a long, b long")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for w in word_slices(batch.column(1), lower=True):
             values, at = shingle_sets(w)
+            sets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(w.rows.start, len(at) - 1),
-                 pa.array([values[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
-                ["id", "shingles"],
-            )
+                [batch.column(0).slice(w.rows.start, len(at) - 1), sets], ["id", "shingles"]
+            )
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []
         for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            x, y = x.values.to_numpy(), y.values.to_numpy()
             both = len(np.intersect1d(x, y, assume_unique=True))
             linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).append_column("linked", pa.array(linked))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, linked): whether the full sets of the pair are similar enough.
-
-    Only texts that take part are read into the shuffle, and each pair's sets meet in one row.
-    """
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, linked): whether the full sets of the pair are similar enough."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rows = _rows(docs).withColumnRenamed("doc_id", "id")
-    texts = only(rows, "id", ids).join(ids.hint("shuffle_hash"), "id", "left_semi").dropDuplicates(["id"])
-    sets = stored(texts.mapInArrow(_sets, "id long, shingles binary"), "shingle-sets")
-    left = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = left.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    named = only(sets, "id", ids)
+    left = pairs.join(named.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = left.join(named.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     return both.select("a", "b", "sa", "sb").mapInArrow(_confirm, "a long, b long, linked boolean")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Every row with its set size, the smallest doc_id of its group and whether it is that one."""
     signed = stored(sign(docs), "signatures")
@@ -243,22 +361,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("id", "signature").dropDuplicates(["id"]), "class-signatures",
     )
     postings = stored(shared_postings(classes), "postings")
-
-    links = tested = None
-    roots = docs.sparkSession.createDataFrame([], "node long, root long")
-    for wave in range(3):
-        if wave == 0:
-            pairs = hub_pairs(postings, classes)
-        else:
-            pairs = open_pairs(postings, classes, roots, best_only=wave == 1)
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
+    sets = stored(texts_to_sets(postings, docs), "shingle-sets")
+    classes = stored(shareable(sets).join(classes, "id"), "posted-classes")
+
+    pairs = stored(hub_pairs(postings, classes), "pairs")  # a is the centre
+    tested = stored(confirm(pairs, sets), "confirmed")
+    links = tested.filter("linked").select("a", "b")
+    families = stored(families_of(classes.select("id"), tested, components(links)), "families")
+    classes = stored(classes.join(families.select("id", "family"), "id"), "family-classes")
+    links = stored(links.unionByName(family_links(families, sets)), "family-links")
+    roots = components(links)
+    for best_only in (True, False):
+        pairs = open_pairs(postings, classes, roots, best_only)
+        pairs = stored(pairs.join(_ordered(tested), ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
-        done = stored(confirm(pairs, docs), "confirmed")
-        tested = done if tested is None else tested.unionByName(done)
-        links = tested.filter("linked").select("a", "b")
+        done = stored(confirm(pairs, sets), "confirmed")
+        tested = tested.select("a", "b", "linked").unionByName(done)
+        links = links.unionByName(done.filter("linked").select("a", "b"))
         roots = components(links)
     found = member.join(roots, member["id"] == roots["node"], "left").select(
         "doc_id", F.coalesce("root", "id").alias("component_id")

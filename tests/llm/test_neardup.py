@@ -36,6 +36,7 @@ def test_equals_brute_force(spark):
 
 def test_a_big_group_of_near_copies_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "FAMILY_BLOCK", 16)
     base, shared = prose(2, 120), prose(3, 25)
     rows = [(i, text_of(edited(base, i % 6, i))) for i in range(120)]
     rows += [(500 + i, text_of(shared + prose(600 + i, 60))) for i in range(60)]
