@@ -87,8 +87,10 @@ def retained_suffixes(rows: DataFrame, k: int = K) -> DataFrame:
     """(doc, places) of retained positions whose word sequence occurs in several documents."""
     kept = stored(rows.mapInArrow(_retained(k), "gram long, doc long, place int"), "suffixes")
     shared = kept.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b")
+    # from a table both sides of the join are plain shuffles, of which a very common gram can be split
+    shared = stored(shared.select("gram"), "shared-grams")
     return (
-        kept.join(shared.select("gram").hint("shuffle_hash"), "gram", "left_semi")
+        kept.join(shared.hint("shuffle_hash"), "gram", "left_semi")
         .groupBy("doc")
         .agg(F.collect_set("place").alias("places"))
     )
