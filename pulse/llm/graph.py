@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.stored import stored
@@ -55,19 +56,37 @@ def _state(edges: DataFrame) -> tuple:
 def only(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows whose id may be among the ids, before any shuffle; some others pass as well.
 
-    The ids travel as SLOTS bits, a fixed size whatever their number. Follow up with a join.
+    Follow up with a join.
     """
-    slot = F.pmod(F.xxhash64(ids.columns[0]), F.lit(SLOTS)).cast("int").alias("slot")
+    return passing(df, column, slots_of(ids))
+
+
+def slots_of(ids: DataFrame) -> Broadcast:
+    """The ids as SLOTS bits, a fixed size whatever their number."""
     bits = np.zeros(SLOTS, bool)
-    bits[ids.select(slot).distinct().toArrow().column(0).to_numpy()] = True
-    packed = df.sparkSession.sparkContext.broadcast(np.packbits(bits))
-    tagged = df.withColumn("_slot", F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int"))
+    bits[ids.select(_slot(ids.columns[0])).distinct().toArrow().column(0).to_numpy()] = True
+    return ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(packed.value).astype(bool)
+
+def _slot(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int").alias("_slot")
+
+
+def passing(df: DataFrame, column: str, slots: Broadcast, wanted: bool = True,
+            then=lambda batches: batches, schema=None) -> DataFrame:
+    """Rows whose id may be among the ids, or those whose id certainly is not.
+
+    ``then`` goes on with the batches in the same step, to rows of ``schema``.
+    """
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(slots.value).astype(bool)
         for batch in batches:
-            keep = bits[batch.column(batch.num_columns - 1).to_numpy()]
+            keep = bits[batch.column(batch.num_columns - 1).to_numpy()] == wanted
             if keep.any():
                 yield batch.filter(pa.array(keep)).drop_columns(["_slot"])
 
-    return tagged.mapInArrow(run, df.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from then(kept(batches))
+
+    return df.select("*", _slot(column)).mapInArrow(run, schema or df.schema)

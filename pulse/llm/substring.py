@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm.graph import passing, slots_of
+from pulse.llm.stored import stored
 from pulse.llm.words import whole_windows, window_hashes, word_slices
 
 WINDOW = 50
@@ -173,11 +175,14 @@ def repeated_windows(docs: DataFrame, k: int = WINDOW, buckets: int | None = Non
     return packed.groupBy("bucket").applyInArrow(_count, _RUNS)
 
 
+REMOVED = "doc_id long, n_words long, n_removed long, spans array<array<long>>, kept string"
+
+
 def _removed(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, text, runs in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "runs")), strict=True):
                 words = (text or "").encode().split()
                 n, spans = len(words), []
                 if runs:
@@ -208,17 +213,25 @@ def _removed(k: int):
 def remove_repeats(docs: DataFrame, k: int = WINDOW, runs: DataFrame | None = None) -> DataFrame:
     """Every row with its maximal removed word spans and the words that stay.
 
-    Columns doc_id, n_words, n_removed, spans (start and end of words, end exclusive), kept.
+    Columns doc_id, n_words, n_removed, spans (start and end of words, end exclusive), kept. Texts
+    that certainly have no run are finished where they are read; only the others are joined.
     """
     runs = repeated_windows(docs, k) if runs is None else runs
-    per_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    own = F.coalesce(rows["doc_id"], F.lit(NULL_ID)) == per_doc["doc_id"]
-    joined = rows.join(per_doc, own, "left").select(rows["doc_id"], "text", "runs")
-    return joined.mapInArrow(
-        _removed(k),
-        "doc_id long, n_words long, n_removed long, spans array<array<long>>, kept string",
+    per_doc = runs.groupBy(F.col("doc_id").alias("own")).agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")
+    )
+    per_doc = stored(per_doc, "runs")
+    rows = docs.select(
+        F.col("doc_id").cast("long"),
+        F.col("text").cast("string"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("own"),
     )
+    slots = slots_of(per_doc.select("own"))
+    some = passing(rows, "own", slots).join(per_doc.hint("shuffle_hash"), "own", "left")
+    shortened = some.select("doc_id", "text", "runs").mapInArrow(_removed(k), REMOVED)
+    rest = rows.withColumn("runs", F.lit(None).cast(per_doc.schema["runs"].dataType))
+    rest = rest.select("doc_id", "text", "runs", "own")
+    return shortened.unionByName(passing(rest, "own", slots, False, _removed(k), REMOVED))
 
 
 def kept_digest(removed: DataFrame) -> DataFrame:
