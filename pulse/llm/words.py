@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 20
 
 # The two word rules: anything but ASCII blanks, and ASCII letters and digits plus all non-ASCII.
