@@ -9,9 +9,11 @@ Every document gets its length-normalised log-likelihood ratio, and that of its
 words, as a long clean text may hide a short insult. A logistic calibration turns these into a
 score. It is fitted on training documents, each rated by a model of the other half of them.
 
-Counts cover every labelled training document. They are gathered block by block in Spark, estimated
-there, and folded into a table of SLOTS numbers a model; only this table, of a fixed size, meets on
-the driver and is broadcast.
+Counts cover every labelled training document. They are summed per event in Spark and estimated in
+blocks whose number follows the distinct events. The table of ratios holds every event, and the
+backoff weight of every context for events unseen there. Up to BROADCAST_ROWS rows it is broadcast;
+a larger one stays in Spark, where texts are gathered in chunks of bounded size and the distinct
+events of a chunk are joined to it. Both ways give the same scores.
 
 Scores see the text alone. Defined results: null and empty texts rate 0; null doc_ids are never
 training rows; several labels of one document count as toxic if any is; without training rows of both
@@ -28,17 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.stored import stored
-from pulse.llm.substring import _unzip, _zip
-from pulse.llm.words import SLICE_BYTES, mixed, text_bytes
+from pulse.llm.words import SLICE_BYTES, text_bytes
 
 ORDER = 5
 DISCOUNT = 2
 SPARED = 0.75
 STRONGEST = 3
-SLOTS = 1 << 22
 THRESHOLD = 0.7
-BLOCKS = 64
+BLOCK_EVENTS = 1 << 16
 HELD = 1 << 21
+BROADCAST_ROWS = 1 << 22
+CHUNK_BYTES = 1 << 22
 
 # 64 symbols: letters, one for digits, one for everything between words, bytes beyond ASCII folded.
 GAP = 27
@@ -51,7 +53,8 @@ BITS, SYMBOLS = 6, 64
 
 # Groups of training documents: twice the half (0 or 1) plus 1 if toxic.
 GROUPS = 4
-_PACKED = "block int, grp int, n long, steps binary, counts binary"
+_COUNTS = tuple(f"n{g}" for g in range(GROUPS))
+_COUNTED = "key long, " + ", ".join(f"{c} long" for c in _COUNTS)
 _MODELS = ((0, 1), (0,), (1,))  # halves each model learns from
 
 
@@ -90,40 +93,19 @@ def events(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return keys[place]
 
 
-def _block_of(keys: np.ndarray) -> np.ndarray:
-    """By the context without its first symbol, so that all a backoff needs is in one block."""
-    middle = (keys >> np.uint32(BITS)) & np.uint32((1 << BITS * (ORDER - 2)) - 1)
-    return (mixed(middle.astype(np.uint64)) % np.uint64(BLOCKS)).astype(np.int64)
-
-
-def _rows(parts: dict[int, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Counts by group as packed rows, one for each block."""
-    rows = []
-    for g, (keys, counts) in parts.items():
-        block = _block_of(keys)
-        order = np.lexsort((keys, block))
-        keys, counts, cuts = keys[order], counts[order], np.searchsorted(block[order], np.arange(BLOCKS + 1))
-        for b in np.flatnonzero(np.diff(cuts)):
-            own = slice(cuts[b], cuts[b + 1])
-            steps = np.diff(keys[own].astype(np.int64), prepend=0).astype("<u4")
-            rows.append((b, g, counts[own].sum(), _zip(steps), _zip(counts[own].astype("<i8"))))
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-        ["block", "grp", "n", "steps", "counts"],
-    )
-
-
 def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list[np.ndarray]] = {}
     size = 0
 
     def flush():
-        parts = {}
+        keys = np.unique(np.concatenate([x for arrays in held.values() for x in arrays]))
+        n = np.zeros((GROUPS, len(keys)), np.int64)
         for g, arrays in held.items():
-            keys, counts = np.unique(np.concatenate(arrays), return_counts=True)
-            parts[g] = keys, counts.astype(np.int64)
-        return _rows(parts)
+            own, counts = np.unique(np.concatenate(arrays), return_counts=True)
+            n[g, np.searchsorted(keys, own)] = counts
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), *(pa.array(x) for x in n)], ["key", *_COUNTS]
+        )
 
     for batch in batches:
         groups = batch.column(0).to_numpy()
@@ -140,6 +122,12 @@ def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield flush()
 
 
+def event_counts(rows: DataFrame) -> DataFrame:
+    """Every event once with its counts by group: key, n0 to n3."""
+    partial = rows.mapInArrow(_count_events, _COUNTED)
+    return partial.groupBy("key").agg(*(F.sum(c).alias(c) for c in _COUNTS))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(grp, text) of labelled documents outside the held-out third."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(
@@ -180,6 +168,7 @@ class Block:
             return np.unique(part, return_inverse=True)[1]
 
         self.context = code(1, ORDER - 1)
+        self.contexts = np.unique(keys >> np.uint32(BITS))
         self.shorter, self.shorter_context = code(0, ORDER - 1), code(1, ORDER - 2)
 
     def shared(self, pooled: np.ndarray) -> np.ndarray:
@@ -206,61 +195,91 @@ class Block:
         own = np.maximum(n * share - taken, 0) + rest * shared
         return np.log(np.where(total > 0, own / np.where(total > 0, total, 1), shared))
 
-    def ratios(self, halves: tuple[int, ...], totals: np.ndarray) -> np.ndarray:
+    def log_weight(self, n: np.ndarray, share: float) -> np.ndarray:
+        """Per context, log of what an unseen event gets of its shared estimate."""
+        total = np.bincount(self.context, n * share)
+        rest = np.bincount(self.context, discounted(n, share))
+        return np.log(np.where(total > 0, rest / np.where(total > 0, total, 1), 1))
+
+    def ratios(self, halves: tuple[int, ...], totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the events, and by context of events unseen there, whose shared estimates cancel out."""
         toxic, plain = (sum(self.n[2 * h + t] for h in halves) for t in (1, 0))
         all_toxic, all_plain = (sum(totals[2 * h + t] for h in halves) for t in (1, 0))
         least = min(all_toxic, all_plain)
         if least == 0:
-            return np.zeros(len(self.keys))
+            return np.zeros(len(self.keys)), np.zeros(len(self.contexts))
         shared = self.shared(toxic + plain)
-        return self.log_model(toxic, least / all_toxic, shared) - self.log_model(
+        seen = self.log_model(toxic, least / all_toxic, shared) - self.log_model(
             plain, least / all_plain, shared
         )
+        unseen = self.log_weight(toxic, least / all_toxic) - self.log_weight(plain, least / all_plain)
+        return seen, unseen
+
+
+#: Contexts stand in the table behind all events.
+_FIRST_CONTEXT = 1 << BITS * ORDER
+_TABLE = "key long, r0 float, r1 float, r2 float"
 
 
-def _slot(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys.astype(np.uint64)) % np.uint64(SLOTS)).astype(np.int64)
+def _blocks(n_events: int, partitions: int) -> int:
+    return max(4 * partitions, -(-n_events // BLOCK_EVENTS))
 
 
-def learn(rows: DataFrame) -> np.ndarray | None:
-    """Log-likelihood ratios of events by slot, one row for each model."""
-    counts = stored(rows.mapInArrow(_count_events, _PACKED), "toxicity-counts")
-    totals = np.zeros(GROUPS)
-    for r in counts.groupBy("grp").agg(F.sum("n").alias("n")).collect():
-        totals[r["grp"]] = r["n"]
+def learn(rows: DataFrame) -> DataFrame | None:
+    """Log-likelihood ratios by each model, for every event and every context: key, r0, r1, r2."""
+    counts = stored(event_counts(rows), "toxicity-counts")
+    sums = counts.agg(F.count(F.lit(1)), *(F.coalesce(F.sum(c), F.lit(0)) for c in _COUNTS)).first()
+    n_events, totals = sums[0], np.array(sums[1:], np.float64)
     if not (totals[0] + totals[2]) or not (totals[1] + totals[3]):
         return None
 
     def estimate(table: pa.Table) -> pa.Table:
-        keys, groups, counted = [], [], []
-        for g, s, c in zip(*(table.column(x).to_pylist() for x in ("grp", "steps", "counts")), strict=True):
-            keys.append(np.cumsum(_unzip(s, "<u4"), dtype=np.int64).astype(np.uint32))
-            counted.append(_unzip(c, "<i8"))
-            groups.append(np.full(len(keys[-1]), g))
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(
-            np.concatenate(groups) * len(distinct) + at, np.concatenate(counted),
-            minlength=GROUPS * len(distinct),
-        ).reshape(GROUPS, -1)
-        block = Block(distinct, n)
+        n = np.stack([table.column(c).to_numpy() for c in _COUNTS])
+        block = Block(table.column("key").to_numpy().astype(np.uint32), n)
         found = [block.ratios(halves, totals) for halves in _MODELS]
+        keys = np.concatenate([block.keys, block.contexts.astype(np.int64) + _FIRST_CONTEXT])
         return pa.table({
-            "slot": pa.array(_slot(distinct), pa.int32()),
-            "weight": pa.array(n.sum(axis=0), pa.float64()),
-            **{f"r{i}": pa.array(r, pa.float32()) for i, r in enumerate(found)},
+            "key": pa.array(keys, pa.int64()),
+            **{f"r{i}": pa.array(np.concatenate(r), pa.float32()) for i, r in enumerate(found)},
         })
 
-    schema = "slot int, weight double, r0 float, r1 float, r2 float"
-    events_ = counts.groupBy("block").applyInArrow(estimate, schema)
-    # of events that share a slot the most common one counts: at most SLOTS rows come back
-    r = F.struct("r0", "r1", "r2")
-    slots = events_.groupBy("slot").agg(F.max_by(r, F.struct("weight", "r0")).alias("r"))
-    found = slots.select("slot", "r.*").toArrow()
-    table = np.zeros((len(_MODELS), SLOTS), np.float32)
-    at = found.column("slot").to_numpy()
-    for i in range(len(_MODELS)):
-        table[i, at] = found.column(f"r{i}").to_numpy()
-    return table
+    # by the context without its first symbol, so that all a backoff needs is in one block; it has
+    # at most SYMBOLS^2 events
+    middle = F.shiftright("key", BITS).bitwiseAND((1 << BITS * (ORDER - 2)) - 1)
+    blocks = _blocks(n_events, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    block = F.pmod(F.xxhash64(middle), F.lit(blocks)).alias("block")
+    found = counts.select("*", block).groupBy("block").applyInArrow(estimate, _TABLE)
+    return stored(found, "toxicity-table")
+
+
+class Ratios:
+    """Some rows of the table: the ratios of events, one row for each model."""
+
+    def __init__(self, found: pa.Table):
+        keys = found.column("key").to_numpy()
+        order = np.argsort(keys)
+        self.keys = keys[order].astype(np.uint32)
+        # the last column stands for what is not there
+        self.values = np.zeros((len(_MODELS), len(keys) + 1), np.float32)
+        for i in range(len(_MODELS)):
+            self.values[i, :-1] = found.column(f"r{i}").to_numpy()[order]
+
+    def places(self, events_: np.ndarray) -> np.ndarray:
+        """Column of each event, or of its context if the event was not seen."""
+        at = self._find(events_)
+        unseen = np.flatnonzero(at == len(self.keys))
+        at[unseen] = self._find(_context_keys(events_[unseen]))
+        return at
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, keys)
+        if len(self.keys):
+            at[self.keys[np.minimum(at, len(self.keys) - 1)] != keys] = len(self.keys)
+        return at
+
+
+def _context_keys(events_: np.ndarray) -> np.ndarray:
+    return (events_ >> np.uint32(BITS)) + np.uint32(_FIRST_CONTEXT)
 
 
 def _strongest(sums: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -276,38 +295,92 @@ def _strongest(sums: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def rate(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """Per document: doc_id, n_chars, and features by the whole model and by the other half's."""
-    model = docs.sparkSession.sparkContext.broadcast(table)
-    names = [f"{p}{x}" for p in ("f", "c") for x in range(1 + STRONGEST)]
+_FEATURES = [f"{p}{x}" for p in ("f", "c") for x in range(1 + STRONGEST)]
+_RATED = "doc_id long, n_bytes long, " + ", ".join(f"{n} double" for n in _FEATURES)
+
+
+def _features(ids: pa.Array, halves: np.ndarray, texts: pa.Array, model: Ratios) -> Iterator[pa.RecordBatch]:
+    for rows, symbols, offsets in symbol_slices(texts):
+        at = model.places(events(symbols, offsets))
+        n = np.diff(offsets)
+        text = np.repeat(np.arange(len(n)), n)
+        # a gap closes a word: its own event counts to the word before it
+        ends = np.flatnonzero(symbols == GAP)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        features = []
+        for values in (model.values[0][at], model.values[2 - halves[rows][text], at]):
+            words = np.add.reduceat(values.astype(np.float64), begins)
+            owner = text[begins]
+            total = np.bincount(owner, words, minlength=len(n))
+            features += [total / n, *_strongest(words, owner, len(n))]
+        yield pa.RecordBatch.from_arrays(
+            [ids.slice(rows.start, len(n)), pa.array(n - 1, pa.int64()),
+             *(pa.array(f, pa.float64()) for f in features)],
+            ["doc_id", "n_bytes", *_FEATURES],
+        )
+
+
+def rate(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_bytes, and features by the whole model and by the other half's."""
+    rows = docs.select(
+        F.col("doc_id").cast("long"), half_of(F.col("doc_id")).alias("half"), F.col("text").cast("string")
+    )
+    if table.count() > BROADCAST_ROWS:
+        return _rate_joined(rows, table)
+    model = docs.sparkSession.sparkContext.broadcast(Ratios(table.toArrow()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.value
         for batch in batches:
-            halves = batch.column(1).to_numpy()
-            for rows, symbols, offsets in symbol_slices(batch.column(2)):
-                at = _slot(events(symbols, offsets))
-                n = np.diff(offsets)
-                text = np.repeat(np.arange(len(n)), n)
-                # a gap closes a word: its own event counts to the word before it
-                ends = np.flatnonzero(symbols == GAP)
-                begins = np.concatenate([[0], ends[:-1] + 1])
-                features = []
-                for values in (table[0][at], table[2 - halves[rows][text], at]):
-                    words = np.add.reduceat(values.astype(np.float64), begins)
-                    owner = text[begins]
-                    total = np.bincount(owner, words, minlength=len(n))
-                    features += [total / n, *_strongest(words, owner, len(n))]
+            yield from _features(batch.column(0), batch.column(1).to_numpy(), batch.column(2), model.value)
+
+    return rows.mapInArrow(run, _RATED)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows numbered by chunks of about CHUNK_BYTES; a longer text is a chunk of its own."""
+    from pyspark import TaskContext
+
+    chunk, size = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        own = []
+        for n in np.diff(text_bytes(batch.column(2))[1]).tolist():
+            # a row counts for itself too, so that empty texts fill chunks as well
+            if size and size + n > CHUNK_BYTES:
+                chunk, size = chunk + 1, 0
+            size += n + 64
+            own.append(chunk)
+        yield batch.append_column("chunk", pa.array(own, pa.int64()))
+
+
+def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        chunks = batch.column(1).to_numpy()
+        for rows, symbols, offsets in symbol_slices(batch.column(0)):
+            found, of = events(symbols, offsets), np.repeat(chunks[rows], np.diff(offsets))
+            for c in np.unique(of):
+                keys = np.unique(found[of == c])
+                keys = np.concatenate([keys, np.unique(_context_keys(keys))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(rows.start, len(n)), pa.array(n - 1, pa.int64()),
-                     *(pa.array(f, pa.float64()) for f in features)],
-                    ["doc_id", "n_bytes", *names],
-                )
+                    [pa.array(np.full(len(keys), c)), pa.array(keys, pa.int64())], ["chunk", "key"]
+                )
 
-    rows = docs.select(
-        F.col("doc_id").cast("long"), half_of(F.col("doc_id")).alias("half"), F.col("text").cast("string")
-    )
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, " + ", ".join(f"{n} double" for n in names))
+
+def _rate_joined(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The same by joins: every chunk of texts gets the rows of the table it needs.
+
+    A chunk asks for an event once, so the most common event has as many rows as there are chunks.
+    """
+    texts = stored(rows.mapInArrow(_chunks, "doc_id long, half int, text string, chunk long"), "toxicity-chunks")
+    keys = texts.select("text", "chunk").mapInArrow(_chunk_keys, "chunk long, key long").distinct()
+    needed = keys.join(table, "key").select("chunk", "key", "r0", "r1", "r2")
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        own = own.combine_chunks()
+        ids, halves, texts = (own.column(c) for c in ("doc_id", "half", "text"))
+        parts = _features(ids.combine_chunks(), halves.to_numpy(), texts.combine_chunks(), Ratios(found))
+        return pa.Table.from_batches(parts)
+
+    return texts.groupBy("chunk").cogroup(needed.groupBy("chunk")).applyInArrow(run, _RATED)
 
 
 def calibrate(rated: DataFrame, labels: DataFrame) -> tuple[float, list[float]] | None:

@@ -69,3 +69,49 @@ def test_a_model_is_a_distribution():
     # thinning in expectation equals thinning on average
     many = rng.binomial(12, 0.3, 200_000)
     assert abs(t.discounted(np.array([12.0]), 0.3)[0] - np.minimum(many, t.DISCOUNT).mean()) < 0.01
+
+
+def test_unseen_events_back_off_and_none_is_dropped(spark):
+    rows, labels = corpus(300)
+    train = t.training_rows(documents(spark, rows), spark.createDataFrame(labels, LABELS)).cache()
+    counts, found = {r["key"]: r for r in t.event_counts(train).collect()}, t.Ratios(t.learn(train).toArrow())
+    contexts = {k >> t.BITS for k in counts}
+    assert len(found.keys) == len(counts) + len(contexts)
+    # more events than one slot each of a small fixed table could hold, and no stranger's ratio
+    known = np.array(sorted(counts), np.uint32)
+    assert (found.keys[found.places(known)] == known).all()
+    # unseen in a known context: the backoff weight of that context; in an unknown one: 0
+    n = np.array([[r[f"n{g}"] for g in range(t.GROUPS)] for r in counts.values()])
+    of = np.array([k >> t.BITS for k in counts])
+    toxic, plain = n[:, 1] + n[:, 3], n[:, 0] + n[:, 2]
+    least = min(toxic.sum(), plain.sum())
+
+    def weight(c, x):
+        own, share = x[of == c], least / x.sum()
+        return t.discounted(own, share).sum() / (own.sum() * share) if own.sum() else 1
+
+    checked = 0
+    for c in sorted(contexts)[::5]:
+        key = next(k for k in range(c << t.BITS, (c + 1) << t.BITS) if k not in counts)
+        got = found.values[0, found.places(np.array([key], np.uint32))[0]]
+        want = np.log(weight(c, toxic) / weight(c, plain))
+        assert abs(got - want) < 1e-5
+        checked += abs(want) > 0.01
+    assert checked > 3
+    c = next(c for c in range(1 << t.BITS * 4) if c not in contexts)
+    assert found.values[0, found.places(np.array([c << t.BITS], np.uint32))[0]] == 0
+
+
+def test_a_table_too_large_to_broadcast_gives_the_same(spark, monkeypatch):
+    rows, labels = corpus(300)
+    odd = [(10_000 + i, x) for i, x in ODD] + [(None, rows[0][1]), (None, None), (10_999, "qqqq xzxz " * 50)]
+    docs, table = documents(spark, rows + odd), spark.createDataFrame(labels, LABELS)
+
+    def run():
+        found = t.learn(t.training_rows(docs, table))
+        return sorted(map(str, (tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in t.rate(docs, found).collect())))
+
+    want = run()
+    assert len(want) == len(rows) + len(odd)
+    monkeypatch.setattr(t, "BROADCAST_ROWS", 0)
+    assert run() == want
