@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from fixtures import ODD, documents, prose, text_of
@@ -115,3 +116,13 @@ def test_a_table_too_large_to_broadcast_gives_the_same(spark, monkeypatch):
     assert len(want) == len(rows) + len(odd)
     monkeypatch.setattr(t, "BROADCAST_ROWS", 0)
     assert run() == want
+
+
+def test_counts_meet_per_event_and_blocks_follow_them(spark):
+    rows, labels = corpus(60)
+    train = t.training_rows(documents(spark, rows * 3), spark.createDataFrame(labels, LABELS))
+    got = t.event_counts(train).collect()
+    assert len({r["key"] for r in got}) == len(got)
+    texts = [text for i, text in rows * 3 if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sum(r[f"n{g}"] for r in got for g in range(t.GROUPS)) == sum(len(x.encode()) + 1 for x in texts)
+    assert t._blocks(1000, 4) == 16 and t._blocks(1000 * t.BLOCK_EVENTS, 4) == 1000
