@@ -16,7 +16,8 @@ retain suffixes at the same place in them, and every window of k words holds a r
 4. Repeated windows merge into maximal spans per document.
 
 Every window is decided, so the result equals that of comparing all windows: a word goes if a
-window of k words around it also starts in a document with a smaller doc_id.
+window of k words around it also starts in a document with a smaller doc_id. Words are compared by
+64-bit hashes.
 
 Defined results: null and empty texts have no words; null doc_ids sort before all others and count
 as one document; rows that repeat a doc_id are that document given again, with the same text; an
@@ -40,7 +41,7 @@ from pulse.llm.words import whole_windows, window_hashes, word_slices
 
 K = 50
 GRAM = 16
-HELD_ROWS = 1 << 16
+HELD_ROWS = 1 << 15
 
 _SURROUNDINGS = (
     "bucket int, doc long, place int, n_left int, n_right int, ahead binary, behind binary, "
@@ -108,12 +109,11 @@ def _surroundings(k: int, buckets: int):
                 best[r[2:]] = min(best.get(r[2:], r[0]), r[0])
             known, rows = [], []
             for r in held:
-                doc, place, n_left, n_right, ahead, behind = r
+                doc, place, n_left, n_right, ahead, behind, gram = r
                 if doc > best[r[2:]]:
                     # all windows inside the surroundings repeat
                     known.append([doc, place - n_left, place + n_right - k])
                 else:
-                    gram = int.from_bytes(ahead[: 4 * GRAM][-8:], "little")
                     rows.append((gram % buckets, doc, place, n_left, n_right, ahead, behind, None))
             known = [x for x in known if x[1] <= x[2]]
             if known:
@@ -129,19 +129,20 @@ def _surroundings(k: int, buckets: int):
             ids = doc_column(batch.column(0))
             places = batch.column(2)
             for w in word_slices(batch.column(1)):
-                words = (w.hashes() & np.uint64(0xFFFFFFFF)).astype("<u4")
+                words = w.hashes().astype("<u8")
                 for i, row in enumerate(range(w.rows.start, w.rows.stop)):
                     own = words[w.offsets[i] : w.offsets[i + 1]]
-                    padded = np.concatenate([np.zeros(reach, "<u4"), own, np.zeros(k, "<u4")])
+                    padded = np.concatenate([np.zeros(reach, "<u8"), own, np.zeros(k, "<u8")])
                     at = np.sort(np.array(places[row].values, np.int64))
                     at = at[at < len(own)]
                     ahead = padded[(at + reach)[:, None] + np.arange(k)]
                     behind = padded[(at + reach - 1)[:, None] - np.arange(reach)]
                     left, right = np.minimum(at, reach), np.minimum(len(own) - at, k)
+                    grams = window_hashes(padded[reach:], GRAM)[at].tolist()
                     doc = int(ids[row])
                     held += [
-                        (doc, int(p), int(a), int(b), x.tobytes(), y.tobytes())
-                        for p, a, b, x, y in zip(at, left, right, ahead, behind, strict=True)
+                        (doc, int(p), int(a), int(b), x.tobytes(), y.tobytes(), g)
+                        for p, a, b, x, y, g in zip(at, left, right, ahead, behind, grams, strict=True)
                     ]
                     if len(held) >= HELD_ROWS:
                         yield flush()
@@ -155,7 +156,7 @@ def _surroundings(k: int, buckets: int):
 def _classes(sides: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the sequences, and how many first words each shares with the one before it."""
     order = np.array(sorted(range(len(sides)), key=sides.__getitem__), np.int64)
-    words = np.frombuffer(b"".join(sides), "<u4").reshape(len(sides), width)[order]
+    words = np.frombuffer(b"".join(sides), "<u8").reshape(len(sides), width)[order]
     common = np.zeros(len(sides), np.int64)
     differ = words[1:] != words[:-1]
     common[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
@@ -203,7 +204,7 @@ def _compare(k: int):
 def repeated_windows(docs: DataFrame, k: int = K, buckets: int | None = None) -> DataFrame:
     """Runs of places at which a repeated window starts: doc_id, first, last."""
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     places = stored(retained_suffixes(rows, k), "suffix-places")
     named = rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")

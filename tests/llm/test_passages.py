@@ -1,8 +1,11 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import removed
 from fixtures import documents, mixed_rows, prose, text_of
 
 from pulse.llm import substring, suffix
+from pulse.llm.words import word_slices
 
 WAYS = {"hashes": substring.repeated_windows, "suffixes": suffix.repeated_windows}
 
@@ -51,3 +54,25 @@ def test_a_long_text_and_small_batches(spark, way, monkeypatch):
     rows = [(1, text_of(long[10_000:10_200])), (2, text_of(long)), (3, text_of(long[25_000:26_000]))]
     got, _ = result(spark, rows, way, 50)
     assert {(r[0], r[2]) for r in got} == {(1, 0), (2, 200), (3, 1000)}
+
+
+def same_half():
+    """Two words whose hashes agree in the lower 32 bits."""
+    names = [f"v{i}" for i in range(400_000)]
+    h = np.concatenate([w.hashes() for w in word_slices(pa.array(names))])
+    low = h & np.uint64(0xFFFFFFFF)
+    order = np.argsort(low)
+    (at, *_) = np.flatnonzero(low[order][1:] == low[order][:-1])
+    return names[order[at]], names[order[at + 1]]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_words_that_share_half_a_hash_differ(spark, way):
+    one, other = same_half()
+    rows = []
+    for i in range(6):
+        w = prose(300 + i, 60)
+        w[30 + i % 2] = one
+        rows.append((2 * i, text_of(w)))
+        rows.append((2 * i + 1, text_of([other if x == one else x for x in w])))
+    assert sorted(result(spark, rows, way, 50)[0]) == sorted(removed(rows, 50))
