@@ -13,11 +13,14 @@ retain suffixes at the same place in them, and every window of k words holds a r
    suffixes that agree on their first n words, for every n; the same to the left with the
    reversed prefixes. A window that reaches o words left and k - o words right of its suffix
    repeats if another suffix of a smaller document is in its class on both sides.
-4. Repeated windows merge into maximal spans per document.
+4. A sequence with more than HOT_ROWS places would make its bucket as large as its group. The windows
+   around its places are hashed whole instead: of equal ones in a map task the smallest document's
+   goes on, and buckets go by the hash of the window.
+5. Repeated windows merge into maximal spans per document.
 
 Every window is decided, so the result equals that of comparing all windows: a word goes if a
 window of k words around it also starts in a document with a smaller doc_id. Words are compared by
-64-bit hashes.
+64-bit hashes, and so are sequences and the windows of step 4.
 
 Defined results: null and empty texts have no words; null doc_ids sort before all others and count
 as one document; rows that repeat a doc_id are that document given again, with the same text; an
@@ -36,17 +39,20 @@ from pyspark.sql import functions as F
 
 from pulse.llm.graph import only
 from pulse.llm.stored import stored
-from pulse.llm.substring import NULL_ID, doc_column, runs_of
+from pulse.llm.substring import NULL_ID, _unzip, _zip, doc_column, runs_of
 from pulse.llm.words import whole_windows, window_hashes, word_slices
 
 K = 50
 GRAM = 16
 HELD_ROWS = 1 << 15
+HOT_ROWS = 1 << 14
+HELD_WINDOWS = 1 << 20
 
 _SURROUNDINGS = (
     "bucket int, doc long, place int, n_left int, n_right int, ahead binary, behind binary, "
     "runs array<array<long>>"
 )
+_HOT = "bucket int, hashes binary, docs binary, places binary, runs binary"
 _RUNS = "doc_id long, first long, last long"
 
 
@@ -85,18 +91,91 @@ def _retained(k: int):
 
 
 def retained_suffixes(rows: DataFrame, k: int = K) -> DataFrame:
-    """(doc, places) of retained positions whose word sequence occurs in several documents."""
+    """(doc, places, hot) of retained positions whose word sequence occurs in several documents.
+
+    hot: those whose sequence has more than HOT_ROWS places; they are not among the others.
+    """
     kept = stored(rows.mapInArrow(_retained(k), "gram long, doc long, place int"), "suffixes")
-    shared = kept.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b")
+    shared = kept.groupBy("gram").agg(
+        F.min("doc").alias("a"), F.max("doc").alias("b"), (F.count(F.lit(1)) > HOT_ROWS).alias("many")
+    )
     # from a table both sides of the join are plain shuffles, of which a very common gram can be split
-    shared = stored(shared.select("gram"), "shared-grams")
+    shared = stored(shared.filter("a < b").select("gram", "many"), "shared-grams")
     return (
-        kept.join(shared.hint("shuffle_hash"), "gram", "left_semi")
+        kept.join(shared.hint("shuffle_hash"), "gram")
         .groupBy("doc")
-        .agg(F.collect_set("place").alias("places"))
+        .agg(
+            F.collect_set(F.when(~F.col("many"), F.col("place"))).alias("places"),
+            F.collect_set(F.when(F.col("many"), F.col("place"))).alias("hot"),
+        )
     )
 
 
+def _first_of_each(docs: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Windows of the smallest document that has them, and runs of all others."""
+    order = np.lexsort((docs, hashes))
+    d, h, p = docs[order], hashes[order], places[order]
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    again = d > d[new][np.cumsum(new) - 1]
+    return [x[~again] for x in (d, h, p)], runs_of(d[again], p[again])
+
+
+def _hot_windows(k: int, buckets: int):
+    """Windows around the places of hot sequences, packed by bucket."""
+    reach = k - GRAM
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            (d, h, p), runs = _first_of_each(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            rows = [(0, None, None, None, _zip(runs.astype("<i8")))]
+            for b in np.flatnonzero(np.diff(cuts)):
+                own = by[cuts[b] : cuts[b + 1]]
+                rows.append((b, h[own].tobytes(), _zip(d[own]), _zip(p[own]), None))
+            kinds = (pa.int32(), *[pa.binary()] * 4)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                ["bucket", "hashes", "docs", "places", "runs"],
+            )
+
+        for batch in batches:
+            ids = doc_column(batch.column(0))
+            places = batch.column(2)
+            for w in word_slices(batch.column(1)):
+                hashes = window_hashes(w.hashes(), k)
+                for i, row in enumerate(range(w.rows.start, w.rows.stop)):
+                    windows = int(w.offsets[i + 1] - w.offsets[i]) - k + 1
+                    at = np.array(places[row].values, np.int64)
+                    starts = np.unique(at[:, None] - np.arange(reach + 1))
+                    starts = starts[(starts >= 0) & (starts < windows)]
+                    held.append((np.full(len(starts), ids[row]), hashes[w.offsets[i] + starts], starts))
+                    size += len(starts)
+                    if size >= HELD_WINDOWS:
+                        yield flush()
+                        held, size = [], 0
+        if size:
+            yield flush()
+
+    return run
+
+
+def _compare_hot(table: pa.Table) -> pa.Table:
+    parts, found = [], [np.empty((0, 3), np.int64)]
+    for h, d, p, r in zip(*(table.column(c).to_pylist() for c in ("hashes", "docs", "places", "runs")), strict=True):
+        if r is not None:
+            found.append(_unzip(r, "<i8").reshape(-1, 3))
+        else:
+            parts.append((_unzip(d, "<i8"), np.frombuffer(h, "<u8"), _unzip(p, "<i8")))
+    if parts:
+        found.append(_first_of_each(*(np.concatenate(x) for x in zip(*parts, strict=True)))[1])
+    rows = np.concatenate(found)
+    return pa.table({n: rows[:, i] for i, n in enumerate(("doc_id", "first", "last"))})
+
+
 def _surroundings(k: int, buckets: int):
     reach = k - GRAM
 
@@ -208,6 +287,15 @@ def repeated_windows(docs: DataFrame, k: int = K, buckets: int | None = None) ->
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     places = stored(retained_suffixes(rows, k), "suffix-places")
     named = rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
-    texts = only(named, "doc", places.select("doc")).join(places.hint("shuffle_hash"), "doc")
-    around = texts.select("doc", "text", "places").mapInArrow(_surroundings(k, buckets), _SURROUNDINGS)
-    return around.groupBy("bucket").applyInArrow(_compare(k), _RUNS)
+
+    def texts(column: str) -> DataFrame:
+        own = places.filter(F.size(column) > 0).select("doc", F.col(column).alias("places"))
+        found = only(named, "doc", own.select("doc")).join(own.hint("shuffle_hash"), "doc")
+        return found.select("doc", "text", "places")
+
+    around = texts("places").mapInArrow(_surroundings(k, buckets), _SURROUNDINGS)
+    found = around.groupBy("bucket").applyInArrow(_compare(k), _RUNS)
+    if places.filter(F.size("hot") > 0).isEmpty():
+        return found
+    packed = texts("hot").mapInArrow(_hot_windows(k, buckets), _HOT)
+    return found.unionByName(packed.groupBy("bucket").applyInArrow(_compare_hot, _RUNS))

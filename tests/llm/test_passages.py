@@ -56,6 +56,26 @@ def test_a_long_text_and_small_batches(spark, way, monkeypatch):
     assert {(r[0], r[2]) for r in got} == {(1, 0), (2, 200), (3, 1000)}
 
 
+def test_hot_sequences_leave_the_buckets(spark, monkeypatch):
+    # documents with a line in common, and passages of it with different and with equal ends
+    line = prose(5, 30)
+    rows = [(i, text_of(prose(100 + i % 40, 40) + line + prose(200 + i % 20, 40))) for i in range(60)] + mixed_rows()[-9:]
+    docs = documents(spark, rows)
+    monkeypatch.setattr(suffix, "HOT_ROWS", 20)
+    places = suffix.retained_suffixes(docs.select("doc_id", "text").toDF("doc", "text")).collect()
+    assert sum(len(r["hot"]) for r in places) >= 60 and any(r["places"] for r in places)
+    counted = {}
+    for r in places:
+        w = dict(rows)[r["doc"]].split()
+        for p in r["places"]:
+            gram = tuple(w[p : p + suffix.GRAM])
+            counted[gram] = counted.get(gram, 0) + 1
+    assert max(counted.values()) <= 20
+    for hot in (0, 20, 1 << 14):
+        monkeypatch.setattr(suffix, "HOT_ROWS", hot)
+        assert sorted(result(spark, rows, "suffixes", 50)[0]) == sorted(removed(rows, 50))
+
+
 def same_half():
     """Two words whose hashes agree in the lower 32 bits."""
     names = [f"v{i}" for i in range(400_000)]
