@@ -1,8 +1,9 @@
 """From raw documents to packed sequences, stage by stage.
 
 Every stage takes the documents its predecessor kept and returns their columns; the last returns
-packed pieces. Rows of one doc_id are one document: they go or stay together, and rows without an id
-do so too. Stages need columns doc_id, text and source; others pass through, n_chars follows the text.
+packed pieces. In the first two stages rows of one doc_id are one document: they go or stay together,
+and rows without an id do so too. Decontamination tells rows of one id, or without one, apart by their
+texts. Stages need columns doc_id, text and source; others pass through, n_chars follows the text.
 """
 
 from __future__ import annotations
@@ -40,8 +41,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _keep(docs, found.select("doc_id", (~F.col("contaminated")).alias("kept")))
+    found = decontam.judged(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    same = decontam.digest_of(docs["text"]) == F.col("__digest")
+    own = same & docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
+    return docs.join(bad.distinct().hint("shuffle_hash"), own, "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ windows on average, whose terms are literals of the plan and whose anchors are b
 documents are read twice per block, once to count the block's terms and once to post.
 
 Defined results: null and empty texts have no words; items without words match nowhere; an item of
-fewer than k words is one window; null ids are ids of their own; rows that repeat a doc_id are that
-document given again; repeated items count once; empty tables give no matches. Other columns are
+fewer than k words is one window; rows are one document if both doc_id, null or not, and text are the
+same; repeated items count once; empty tables give no matches. Other columns are
 ignored.
 """
 
@@ -33,6 +33,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NO_WORDS = "array<string>"
 
+# What makes rows one document: the id, and the digest of the text.
+_DOC = ("doc_id", "digest")
+
+
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+
 
 def words_of(text: Column) -> Column:
     found = F.regexp_extract_all(F.translate(text.cast("string"), UPPER, LOWER), F.lit(WORD), F.lit(0))
@@ -75,7 +82,7 @@ def anchors_of(phrases: DataFrame, doc_words: DataFrame) -> DataFrame:
 
 
 def postings_of(doc_words: DataFrame, terms: list[str], reach: int) -> DataFrame:
-    """Documents with the postings of the given terms: doc_id, n_words, posted.
+    """Documents with the postings of the given terms: doc_id, digest, n_words, posted.
 
     A posting holds the term, its place (from 0) and the words from ``reach`` before to ``reach``
     after it.
@@ -88,19 +95,19 @@ def postings_of(doc_words: DataFrame, terms: list[str], reach: int) -> DataFrame
         return F.when(w.isin(terms), F.struct(w.alias("term"), i.alias("place"), around.alias("around")))
 
     return doc_words.select(
-        "doc_id",
+        *_DOC,
         F.size("words").cast("long").alias("n_words"),
         F.filter(F.transform("words", post), lambda p: p.isNotNull()).alias("posted"),
     )
 
 
 def match(posted: DataFrame, anchors: DataFrame, reach: int, slop: int | None = None) -> DataFrame:
-    """Matches of the phrases: doc_id, first, size, phrase, exact.
+    """Matches of the phrases: doc_id, digest, first, size, phrase, exact.
 
     Exact: the words stand at their offsets. With a slop, windows also match by proximity when all
     their words occur within that many words beyond the window's length around the anchor.
     """
-    flat = posted.select("doc_id", F.explode("posted").alias("p")).select("doc_id", "p.*")
+    flat = posted.select(*_DOC, F.explode("posted").alias("p")).select(*_DOC, "p.*")
     joined = flat.join(F.broadcast(anchors), F.col("term") == F.col("anchor"))
     first = (F.col("place") - F.col("offset")).alias("first")
     base = F.greatest(F.col("place") - reach, F.lit(0))
@@ -109,14 +116,14 @@ def match(posted: DataFrame, anchors: DataFrame, reach: int, slop: int | None =
     exact = (at >= 1) & F.coalesce(
         F.slice("around", F.greatest(at, F.lit(1)), size) == F.col("phrase"), F.lit(False)
     )
-    rows = joined.select("doc_id", first, size.alias("size"), "phrase", exact.alias("exact"),
+    rows = joined.select(*_DOC, first, size.alias("size"), "phrase", exact.alias("exact"),
                          "around", (F.col("place") - base + 1).alias("own"))
     if slop is None:
-        return rows.filter("exact").select("doc_id", "first", "size", "phrase", "exact")
+        return rows.filter("exact").select(*_DOC, "first", "size", "phrase", "exact")
     low = F.greatest(F.col("own") - F.col("size") + 1 - slop, F.lit(1))
     near = F.slice("around", low, F.col("own") + F.col("size") - 1 + slop - low + 1)
     return rows.filter(F.col("exact") | (F.size(F.array_except("phrase", near)) == 0)).select(
-        "doc_id", "first", "size", "phrase", "exact"
+        *_DOC, "first", "size", "phrase", "exact"
     )
 
 
@@ -125,7 +132,9 @@ def find_phrases(docs: DataFrame, items: DataFrame, k: int = K, slop: int | None
     """(documents with n_words, matches, windows): see :func:`match` and :func:`windows_of`."""
     windows = stored(windows_of(items, k), "benchmark-windows")
     blocks = max(1, math.ceil(windows.count() / block_windows))
-    doc_words = docs.select(F.col("doc_id").cast("long"), words_of(F.col("text")).alias("words"))
+    doc_words = docs.select(
+        F.col("doc_id").cast("long"), digest_of(F.col("text")).alias("digest"), words_of(F.col("text")).alias("words")
+    )
     reach, found, counted = k - 1 + (slop or 0), None, None
     for b in range(blocks):
         phrases = windows.filter(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == b).select("phrase").distinct()
@@ -134,31 +143,37 @@ def find_phrases(docs: DataFrame, items: DataFrame, k: int = K, slop: int | None
         posted = stored(postings_of(doc_words, terms, reach), "benchmark-postings")
         matches = match(posted, anchors, reach, slop)
         found = matches if found is None else found.unionByName(matches)
-        counted = posted.select("doc_id", "n_words") if counted is None else counted
+        counted = posted.select(*_DOC, "n_words") if counted is None else counted
     return counted, found, windows
 
 
 def contamination(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     """Every document with its words inside occurrences of windows, and the items they are from."""
+    return judged(docs, items, k).drop("digest")
+
+
+def judged(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
+    """:func:`contamination` with the digest of the text."""
     counted, matches, windows = find_phrases(docs, items, k)
-    spans = matches.select("doc_id", "first", (F.col("first") + F.col("size")).alias("stop")).distinct()
-    order = Window.partitionBy("doc_id").orderBy("first", "stop")
+    spans = matches.select(*_DOC, "first", (F.col("first") + F.col("size")).alias("stop")).distinct()
+    order = Window.partitionBy(*_DOC).orderBy("first", "stop")
     before = F.coalesce(F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     fresh = F.greatest(F.col("stop") - F.greatest("first", "before"), F.lit(0))
     hits = (
         spans.withColumn("before", before)
-        .groupBy("doc_id")
+        .groupBy(*_DOC)
         .agg(F.sum(fresh).cast("long").alias("n_hit"))
     )
     # copies of one passage name the same items: distinct pairs before the join and after it
-    pairs = matches.select("doc_id", "phrase").distinct().join(windows, "phrase").select("doc_id", "item_id")
+    pairs = matches.select(*_DOC, "phrase").distinct().join(windows, "phrase").select(*_DOC, "item_id")
     sorted_ids = F.array_sort(F.collect_set(F.col("item_id").cast("string")))
-    named = pairs.groupBy("doc_id").agg(sorted_ids.alias("items"))
-    found = hits.join(named.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")))
-    found = found.select(F.col("doc_id").alias("hit_id"), "n_hit", "items")
+    named = pairs.groupBy(*_DOC).agg(sorted_ids.alias("items")).toDF("d", "o", "items")
+    found = hits.join(named, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("o")))
+    found = found.select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"), "n_hit", "items")
     items_col = F.coalesce("items", F.array().cast(NO_WORDS))
-    return counted.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left").select(
-        "doc_id",
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("digest") == F.col("hit_digest"))
+    return counted.join(found, same, "left").select(
+        *_DOC,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.size(items_col).cast("long").alias("n_items"),

@@ -58,3 +58,21 @@ def test_proximity(spark):
 def test_no_python_in_the_plan(spark):
     plan = decontam.contamination(documents(spark, rows()), items(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_an_id_are_told_apart_by_their_texts(spark):
+    import corpus_pipeline
+
+    sf_dir = "/root/testdata/sf0.001"
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    bad = [r["text"] for r in bench.orderBy("item_id").limit(2).collect()]
+    some = [(None, bad[0]), (None, bad[0]), (None, bad[1]), (None, "clean text"), (None, None), (1, bad[0]), (1, "clean")]
+    docs = documents(spark, some)
+    got = decontam.contamination(docs, bench).collect()
+    assert sorted((r["doc_id"] or 0, r["n_hit"] > 0) for r in got) == sorted(
+        (i or 0, t in bad) for i, t in some
+    )
+    alone = {t: decontam.contamination(documents(spark, [(7, t)]), bench).first()["items_sha256"] for t in bad}
+    assert {r["items_sha256"] for r in got if r["n_hit"]} == set(alone.values())
+    kept = dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, docs, sf_dir).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, ""), (0, "clean text"), (1, "clean")]
