@@ -339,20 +339,40 @@ def predictions_stored(spark, sf_dir):
     return read_or_empty(spark, path, PREDICTION).select(*PREDICTION.names)
 
 
+#: Bytes of texts in one object of a crawl, about.
+CRAWL_BYTES = 8 << 20
+
+
+def _crawl_parts(rows: DataFrame) -> DataFrame:
+    """The rows with their part of the source: parts follow the bytes of the source, rows are dealt in turn.
+
+    Only sources of more than one part are listed, at most one for every CRAWL_BYTES of the input.
+    """
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 256)
+    parts = F.ceil(size / CRAWL_BYTES).cast("int")
+    large = rows.groupBy("source").agg(parts.alias("parts")).filter("parts > 1")
+    large = F.broadcast(large.withColumnRenamed("source", "large"))
+    dealt = rows.withColumn("turn", F.monotonically_increasing_id())
+    dealt = dealt.join(large, F.col("source").eqNullSafe(F.col("large")), "left")
+    part = F.pmod("turn", F.coalesce("parts", F.lit(1))).cast("int")
+    return dealt.withColumn("part", part).drop("turn", "large", "parts")
+
+
 @query
 def crawl_result(spark, sf_dir):
-    """Posts and failures of a crawl, written as one object per source and read back."""
+    """Posts and failures of a crawl, written as objects of bounded size per source and read back."""
     path = scratch(spark, "crawl")
+    rows = _crawl_parts(fx.table(spark, sf_dir, "documents"))
     url = F.concat(F.lit(fx.POST_URL), F.col("doc_id").cast("string"))
     post = F.struct(url.alias("url"), F.col("source").alias("title"), F.col("text").alias("content_text"))
     failure = F.struct(url.alias("url"), F.concat(F.lit("timeout "), F.col("lang")).alias("error"))
     ok = F.col("doc_id") % 10 != 3
-    runs = fx.table(spark, sf_dir, "documents").groupBy("source").agg(
+    runs = rows.groupBy("source", "part").agg(
         F.collect_list(F.when(ok, post)).alias("posts"), F.collect_list(F.when(~ok, failure)).alias("failures")
     )
     # one file per run, as the crawler leaves them
     body = F.to_json(F.struct("posts", "failures")).alias("value")
-    runs.select("source", body).write.partitionBy("source").text(path)
+    runs.select("source", "part", body).write.partitionBy("source", "part").text(path)
     posts, failures = read_crawl_result(spark, path)
     return posts.select("url", "title", "content_text").unionByName(failures, allowMissingColumns=True)
 

@@ -29,3 +29,16 @@ def test_query(spark, con, name):
     rows, _, problem = compare(spark, con, SF_DIR, name, QUERIES[name], ORACLES[name])
     assert problem is None
     assert rows > 0
+
+
+def test_crawl_objects_are_bounded(spark, monkeypatch):
+    from pulse.checks import queries
+
+    monkeypatch.setattr(queries, "CRAWL_BYTES", 4000)
+    rows = [(i, "hot" if i % 3 else None, "x" * 200) for i in range(300)] + [(999, "small", "y"), (None, "small", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    got = queries._crawl_parts(docs)
+    assert got.columns == docs.columns + ["part"] and got.count() == len(rows)
+    sizes = {(r["source"], r["part"]): r["n"] for r in got.groupBy("source", "part").count().toDF("source", "part", "n").collect()}
+    assert max(sizes.values()) <= 20 and sizes["small", 0] == 2
+    assert sum(s == "hot" for s, _ in sizes) > 10 and sum(s is None for s, _ in sizes) > 5
