@@ -52,9 +52,21 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", least=16, hint=("AKIA",)),
     Rule("hex", r"[0-9a-f]{32,}", least=32),
 )
-# Added by this scanner: headers of private keys.
+# Added by this scanner: private keys, from the header to the END line. Without one before the next
+# dashes, a header goes with the base64 lines that follow: the first has 16 characters at least, and
+# of a line that is not all base64 the first word goes too, as it may be the rest of the key. The
+# repetitions are bounded as Java recurses into them; 900 lines are ten times an RSA key of 8192 bits.
+_BREAK = r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*"
 MORE_RULES = (
-    Rule("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hint=("PRIVATE KEY",)),
+    Rule(
+        "private",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:[^-]*(?:-{1,4}[^-]+){0,64}-----END [A-Z ]*PRIVATE KEY-----"
+        rf"|(?:(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*){{1,4}}(?:{_BREAK})?)?"
+        rf"{_BREAK}[A-Za-z0-9+/=]{{16,}}(?:{_BREAK}[A-Za-z0-9+/=]+){{0,900}})?",
+        version=3,
+        hint=("PRIVATE KEY",),
+    ),
 )
 RULES = BASE_RULES + MORE_RULES
 

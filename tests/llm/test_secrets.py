@@ -82,3 +82,26 @@ def test_redaction(spark):
             "[SECRET]" if g and not (p and gone[p - 1]) else "" if g else text[p] for p, g in enumerate(gone)
         )
         assert got[i] == want
+
+
+def test_private_keys_go_with_their_bodies(spark):
+    body = "\n".join(["MIIEpAIBAAKCAQEA" * 4] * 5)
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    encrypted = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n"
+    texts = {
+        f"a {begin}\n{body}\nqk8=\n{end} b": "a [SECRET] b",
+        f"a {begin}{encrypted}{body}\n{end}\nb": "a [SECRET]\nb",
+        f"{begin}\r\n{body}\r\nqk8=\r\n\r\nAnd prose.": "[SECRET]\r\n\r\nAnd prose.",
+        f"{begin}{encrypted}{body}\nqk": "[SECRET]",
+        f"{begin}\\n{body[:64]}\\nqk8=\\n{end}\"": "[SECRET]\"",
+        f"{begin} is a header\nand prose": "[SECRET] is a header\nand prose",
+        f"{begin}\nx y {begin}\n{body}\n{end} z": "[SECRET]\nx y [SECRET] z",
+        f"{begin}\n" + "a-b " * 3000: "[SECRET]\n" + "a-b " * 3000,
+    }
+    long = begin + ("\n" + "A" * 64) * 800
+    texts[long] = "[SECRET]"
+    versions = s.versions_of(documents(spark, list(enumerate(texts))))
+    found = s.findings(versions, s.update_ledger(versions, scratch(spark, "ledger")))
+    both = versions.join(found.drop("blob"), "path")
+    got = {r["path"]: r["t"] for r in both.select("path", s.redacted(both["content"], both["spans"]).alias("t")).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
