@@ -176,3 +176,120 @@ from words w left join sizes s on w.doc_id = s.doc_id left join roots r on w.doc
 
 # Both remove the same words, by different methods.
 ORACLES["op2_suffix_array_dedup"] = ORACLES["op6_substring_dedup"]
+
+
+def _crc32(codes: str) -> str:
+    """Unsigned CRC-32 of a list of bytes, bit by bit."""
+    bits = "list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, y: xor(b >> 1, (b & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda a, x: {bits}), 4294967295)"
+
+
+_DIGITS = "list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ord(c) as bigint))"
+
+
+def _hashed_part(column: str) -> str:
+    text = f"cast({column} as varchar)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _merkle_levels(name: str, levels: int) -> str:
+    """Views of the levels above ``name_0`` (g, i, h): a level that has one node in a group stays as it is."""
+    views = []
+    for k in range(levels):
+        below = f"{name}_{k}"
+        views.append(f"""{name}_{k + 1} as materialized (
+  select b.g, case when n > 1 then i // 8 else i end as i,
+    case when any_value(n) > 1 then sha256(string_agg(h, '' order by i)) else any_value(h) end as h
+  from {below} b join (select g, count(*) as n from {below} group by g) c on b.g = c.g
+  group by b.g, case when n > 1 then i // 8 else i end)""")
+    return ",\n".join(views)
+
+
+def _merkle_path(rows: str, name: str, levels: int, group: str) -> str:
+    """Views that walk from ``rows_0`` (pos, folded, proof) up the levels of ``name``."""
+    views = []
+    for k in range(levels):
+        views.append(f"""{name}_s{k} as materialized (
+  select b.g, i // 8 as run, n, list(h order by i) as hs from {name}_{k} b
+  join (select g, count(*) as n from {name}_{k} group by g) c on b.g = c.g group by b.g, i // 8, n),
+{rows}_{k + 1} as materialized (
+  select r.* exclude (pos, folded, proof), case when n > 1 then pos // 8 else pos end as pos,
+    case when n > 1 then sha256(array_to_string(hs[:pos % 8], '') || folded || array_to_string(hs[pos % 8 + 2:], ''))
+      else folded end as folded,
+    case when n > 1 then proof || array_to_string(hs[:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '')
+      else proof end as proof
+  from {rows}_{k} r join {name}_s{k} s on s.g = r.{group} and s.run = r.pos // 8)""")
+    return ",\n".join(views)
+
+
+_DEEP, _TOP_DEEP = 8, 4
+_LOWER_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_hashed_part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+with hashed as materialized (
+  select doc_id, coalesce('=' || lang, '') as g, {_leaf('text')} as leaf,
+    case when {_crc32(_DIGITS)} % 3 = 0 then {_leaf(_LOWER_TEXT)} end as changed from documents
+), placed as materialized (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos from hashed
+), tree_0 as (select g, pos as i, leaf as h from placed),
+{_merkle_levels('tree', _DEEP)},
+subroots as materialized (select g, h as subroot, row_number() over (order by encode(g)) - 1 as place from tree_{_DEEP}),
+top_0 as (select '' as g, place as i, subroot as h from subroots),
+{_merkle_levels('top', _TOP_DEEP)},
+walk_0 as (select doc_id, g, leaf, pos, coalesce(changed, leaf) as folded, '' as proof from placed),
+{_merkle_path('walk', 'tree', _DEEP, 'g')},
+rise_0 as (
+  select doc_id, leaf, subroot, '' as all_langs, place as pos, folded, proof
+  from walk_{_DEEP} w join subroots s on w.g = s.g
+),
+{_merkle_path('rise', 'top', _TOP_DEEP, 'all_langs')}
+select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = h as verified
+from rise_{_TOP_DEEP}, top_{_TOP_DEEP}
+"""
+
+_BYTES = """flatten(list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || run, ''),
+    lambda c: case when ord(c) < 128 then [cast(ord(c) as bigint)]
+      else [192 + cast(ord(c) as bigint) // 64, 128 + cast(ord(c) as bigint) % 64] end))"""
+
+ORACLES["op12_spelling_variants"] = f"""
+with recursive runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents
+), summed as materialized (
+  select run, {_crc32(_BYTES)} as h, count(*) as n
+  from (select doc_id, run, count(*) as times from runs where length(run) >= 6 group by doc_id, run) r,
+    unnest(range(times)) group by doc_id, run
+), words as materialized (
+  select case when h % 199 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word,
+    cast(sum(n) as bigint) as n from summed group by 1
+), vocabulary as materialized (select word, n from words where length(word) >= 6 and n >= 5),
+cut as materialized (
+  select word, n, unnest(range(length(word))) as p from vocabulary
+), rests as materialized (
+  select word, n, p, word[:p] as head, word[p + 2:] as tail from cut
+), near as materialized (
+  select distinct a.word, b.word as other, b.n as other_n
+  from rests a join rests b on a.p = b.p and a.head = b.head and a.tail = b.tail and a.word <> b.word
+  union
+  select r.word, v.word, v.n from rests r join vocabulary v on r.head || r.tail = v.word
+  union
+  select v.word, r.word, r.n from rests r join vocabulary v on r.head || r.tail = v.word
+), best as (
+  select word, count(*) as n_near, max(other_n) as most,
+    arg_min(other, {{'less': -other_n, 'other': encode(other)}}) as other from near group by word
+), forms as materialized (
+  select v.word, v.n, coalesce(n_near, 0) as n_near, case when most >= 5 * v.n then other end as form,
+    case when most >= 5 * v.n then most end as form_n
+  from vocabulary v left join best b on v.word = b.word
+), chains as (
+  select word, coalesce(form, word) as root, 0 as step from forms
+  union all select c.word, f.form, step + 1 from chains c join forms f on c.root = f.word where f.form is not null
+)
+select f.word, n, n_near, form, form_n, arg_max(root, step) as root
+from forms f join chains c on f.word = c.word group by f.word, n, n_near, form, form_n
+"""

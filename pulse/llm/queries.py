@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with production parameters."""
+"""The operators as queries over the given tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import chat, decontam, neardup, packing, quality, secret_scan, substring, suffix, token_files, toxicity
+from pulse.llm import (
+    chat,
+    decontam,
+    merkle,
+    neardup,
+    packing,
+    quality,
+    quality_model,
+    secret_scan,
+    substring,
+    suffix,
+    token_files,
+    toxicity,
+    variants,
+)
 from pulse.sources.store import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +113,20 @@ def op9_quality_rules(spark, sf_dir):
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_quality_classifier(spark, sf_dir):
+    return quality_model.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
