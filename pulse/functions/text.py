@@ -19,8 +19,6 @@ LAUGH_CRY = "ㅋㅎㅠㅜ"
 KEPT = r"\p{Alnum}가-힣"
 LINK = r"https?://\S+"
 URL = rf"(?i)(https?://[^{WHITESPACE}]+|www\.[^{WHITESPACE}]+)"
-# What the older cleaning blanks: a marked link, a backslash with its letters, any other character.
-BLANKED_AS_WRITTEN = rf"https?://\\S+|\\s+|[^{KEPT}\\]"
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 STRIP_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -107,23 +105,14 @@ def tokens_stream(
     return tokens if cap is None else cap_tokens(tokens, cap)
 
 
-def clean_text(title: Column, body: Column, as_written: bool = False) -> Column:
-    """Title and body as one line of ASCII letters, digits and Hangul syllables.
-
-    ``as_written`` is the older behaviour: links survive as words, blank runs stay, and a backslash
-    is a kept character unless small s letters follow it, which go with it.
-    """
-    text = joined_text(title, body)
-    if as_written:
-        return F.trim(F.regexp_replace(text, BLANKED_AS_WRITTEN, " "))
-    text = F.regexp_replace(text, LINK, " ")
+def clean_text(title: Column, body: Column) -> Column:
+    """Title and body without links, as one line of ASCII letters, digits and Hangul syllables."""
+    text = F.regexp_replace(joined_text(title, body), LINK, " ")
     return F.trim(F.regexp_replace(text, rf"[^{KEPT}]+", " "))
 
 
-def has_words(title: Column, body: Column, as_written: bool = False) -> Column:
+def has_words(title: Column, body: Column) -> Column:
     """Whether :func:`clean_text` is not empty, without building it: stops at the first hit."""
-    if as_written:
-        return F.length(clean_text(title, body, as_written)) > 0
     return F.regexp_replace(joined_text(title, body), LINK, " ").rlike(f"[{KEPT}]")
 
 

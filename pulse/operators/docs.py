@@ -71,7 +71,6 @@ def cleaned_docs(
     dates: Sequence[date] | None = None,
     discovered_is_utc: bool = True,
     tz: str = "Asia/Seoul",
-    as_written: bool = False,
 ) -> DataFrame:
     """Documents of the given days (all days if None) with non-empty cleaned text."""
     if dates is not None:
@@ -80,8 +79,8 @@ def cleaned_docs(
     if dates is not None:
         docs = filter_dates(docs, dates)
     texts = F.col("title"), F.col("content_text")
-    docs = docs.filter(has_words(*texts, as_written))
-    cleaned = docs.withColumn("cleaned_text", clean_text(*texts, as_written))
+    docs = docs.filter(has_words(*texts))
+    cleaned = docs.withColumn("cleaned_text", clean_text(*texts))
     return cleaned.select(*CLEANED_DOC.names)
 
 

@@ -17,6 +17,7 @@ from pulse.schema import CLEANED_MESSAGE, POST_MESSAGE
 RAW, CLEANED, ERROR = "raw", "cleaned", "error"
 REQUIRED = ("url", "title", "content_text")
 MISSING_FIELD = "필수 필드 누락: '{}'"
+NOT_TEXT = "content_text가 문자열이 아님"
 VALIDATION_ERROR = "validation_error"
 CRAWL_FAILURE = "crawl_failure"
 UNKNOWN_FAILURE = "크롤링 실패 (원인 불명)"
@@ -48,12 +49,39 @@ def dead_letters(df: DataFrame, value: str = "value") -> DataFrame:
     return _decoded(df, value).filter(F.col("m").isNull()).select(*df.columns)
 
 
+def decode_crawled(df: DataFrame, value: str = "value") -> DataFrame:
+    """JSON of crawled posts to post columns, and ``content_json``: the content where it is not text."""
+    fields = [f for f in POST_MESSAGE.fields if f.name != "content_text"]
+    typed = T.StructType([*fields, T.StructField("content_text", T.VariantType())])
+    kept = [c for c in df.columns if c != value]
+    body = df.withColumn("_m", F.from_json(F.col(value), typed))
+    content = F.col("_m.content_text")
+    is_text = F.schema_of_variant(content) == "STRING"
+    columns = {
+        "content_text": F.when(is_text, F.try_variant_get(content, "$", "string")),
+        "content_json": F.when(~is_text, F.to_json(content)),
+    }
+    named = [columns[c].alias(c) if c in columns else F.col(f"_m.{c}").alias(c) for c in POST_MESSAGE.names]
+    return body.select(*kept, *named, columns["content_json"].alias("content_json"))
+
+
+# JSON that counts as no content at all.
+NO_CONTENT = ("null", "false", "0", "0.0", "-0.0", "[]", "{}")
+
+
 def validate_posts(posts: DataFrame) -> DataFrame:
-    """Add ``error_message``, naming the first required field that is missing or empty."""
-    checks = [
-        F.when(F.coalesce(F.length(f), F.lit(0)) == 0, MISSING_FIELD.format(f)) for f in REQUIRED
-    ]
-    return posts.withColumn("error_message", F.coalesce(*checks))
+    """Add ``error_message``, naming the first required field that is missing or empty.
+
+    Content that came as JSON of another kind than text (``content_json``, if there is that column) is
+    missing when it is empty, and otherwise an error of its own after the missing fields.
+    """
+    empty = {f: F.coalesce(F.length(f), F.lit(0)) == 0 for f in REQUIRED}
+    other = F.lit(False)
+    if "content_json" in posts.columns:
+        other = F.coalesce(~F.col("content_json").isin(*NO_CONTENT), F.lit(False))
+        empty["content_text"] &= ~other
+    checks = [F.when(empty[f], MISSING_FIELD.format(f)) for f in REQUIRED]
+    return posts.withColumn("error_message", F.coalesce(*checks, F.when(other, NOT_TEXT)))
 
 
 def clean_posts(posts: DataFrame) -> DataFrame:
@@ -92,7 +120,10 @@ def route_posts(posts: DataFrame, at: Column | None = None) -> DataFrame:
     The key is the url, null when empty.
     """
     checked = validate_posts(posts)
-    raw = F.struct(*[F.col(c) for c in POST_MESSAGE.names])
+    fields = {c: F.col(c) for c in POST_MESSAGE.names}
+    if "content_json" in posts.columns:
+        fields["content_text"] = F.coalesce("content_text", "content_json").alias("content_text")
+    raw = F.struct(*fields.values())
     cleaned = F.struct(
         F.col("url"),
         strip(F.col("title")).alias("title"),

@@ -27,6 +27,26 @@ def test_first_missing_field_is_named(spark):
     assert got == [None, name("url"), name("url"), name("title"), name("content_text"), None]
 
 
+@pytest.mark.parametrize("content, want", [
+    ('"text"', None), ('"12"', None), ("12", "kind"), ("true", "kind"), ('{"a":1}', "kind"), ("[0]", "kind"), ("0.5", "kind"),
+    ("0", "missing"), ("0.0", "missing"), ("false", "missing"), ("null", "missing"), ("[]", "missing"), ("{}", "missing"), ('""', "missing"),
+])
+def test_content_must_be_text(spark, content, want):
+    body = f'{{"url": "u", "title": "t", "content_text": {content}}}'
+    posts = g.decode_crawled(spark.createDataFrame([(body,)], "value string"))
+    row = g.validate_posts(posts).first()
+    texts = {None: None, "kind": g.NOT_TEXT, "missing": g.MISSING_FIELD.format("content_text")}
+    assert row["error_message"] == texts[want]
+    routed = {r["topic"]: r["value"] for r in g.route_posts(posts).collect()}
+    assert set(routed) == {"raw", "cleaned" if want is None else "error"}
+
+
+def test_other_missing_fields_come_before_the_kind_of_content(spark):
+    rows = [('{"url": "u", "content_text": 5}',), ('{"title": "t", "content_text": 5}',), ("oops",), (None,)]
+    checked = g.validate_posts(g.decode_crawled(spark.createDataFrame(rows, "value string"))).collect()
+    assert [r["error_message"] for r in checked] == [g.MISSING_FIELD.format(f) for f in ("title", "url", "url", "url")]
+
+
 def test_routing_keeps_raw_and_splits_by_validity(spark):
     df = posts(spark, {"url": "ok", "title": "　 t\n", "postdate": "bad"}, {"url": "no", "title": None})
     got = {(r["topic"], r["key"]): json.loads(r["value"]) for r in g.route_posts(df, F.lit("T")).collect()}

@@ -106,11 +106,6 @@ def test_cleaning_as_intended(column):
     assert column([text, "!!!", "https://only.link"], t.has_words(NONE, X)) == [True, False, False]
 
 
-def test_cleaning_as_written_keeps_links_blanks_and_backslashes(column):
-    got = column([r"go http://a.bs/c  x\y \S \ss"], t.clean_text(NONE, X, as_written=True))
-    assert got == [r"go http   a bs c  x\y \S"]
-
-
 def test_stopwords_of_either_side_do_not_change_order(column):
     assert column([["b", "a", "b", "c"]], t.remove_stopwords(X, ["a"]), "array<string>") == [
         ["b", "b", "c"]
