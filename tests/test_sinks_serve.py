@@ -10,6 +10,7 @@ from pulse.operators.ingest import route_posts
 from pulse.plans import daily
 from pulse.plans.collect import publish
 from pulse.schema import POST, POST_MESSAGE, PREDICTION, REPORT, TOKEN_STATS, TRAFFIC_SNAPSHOT, DailyParams
+from pulse.sources import posts
 from pulse.sources import readers as r
 from pulse.sources import sinks as k
 from pulse.sources.store import read_or_empty
@@ -59,13 +60,66 @@ def test_landing_keeps_the_first_row_of_a_url(spark, tmp_path, broadcast_bytes):
     def frame(*rows):
         return spark.createDataFrame([(u, t, "", None, None, n) for u, t, n in rows], schema)
 
-    land = lambda df: k.land_posts(df, path, ["n"], broadcast_bytes)
+    land = lambda df: posts.land_posts(df, path, ["n"], broadcast_bytes, 8)
     assert land(frame(("a", "late", 2), ("a", "first", 1), ("b", "b", 3))) == {"inserted": 2, "skipped": 1}
     assert land(frame(("a", "new", 1), ("c", "c", 2), ("c", "c2", 3))) == {"inserted": 1, "skipped": 2}
     assert land(frame(("a", "new", 1), ("c", "c", 2))) == {"inserted": 0, "skipped": 2}
     assert land(frame((None, "x", 1), (None, "y", 2), ("", "z", 3))) == {"inserted": 0, "skipped": 3}
     assert land(frame()) == {"inserted": 0, "skipped": 0}
-    assert [(x[0], x[1]) for x in stored(spark, path, POST)] == [("a", "first"), ("b", "b"), ("c", "c")]
+    assert sorted((x["url"], x["title"]) for x in posts.stored_posts(spark, path).collect()) == [
+        ("a", "first"), ("b", "b"), ("c", "c")
+    ]
+
+
+def post_rows(spark, urls):
+    return spark.createDataFrame([(u, u, "", None, None, 0) for u in urls], type(POST)([*POST.fields]).add("n", "integer"))
+
+
+def test_a_batch_opens_only_buckets_that_may_hold_its_urls(spark, tmp_path, monkeypatch):
+    path, buckets = str(tmp_path / "posts"), 1000
+    old = [f"https://a.example/{i}" for i in range(3000)]
+    posts.land_posts(post_rows(spark, old), path, ["n"], buckets=buckets)
+    opened = []
+    read = posts.stored_posts
+    monkeypatch.setattr(posts, "stored_posts", lambda s, p, b: (opened.append(list(b)), read(s, p, b))[1])
+
+    new = [f"https://b.example/{i}" for i in range(10)]
+    assert posts.land_posts(post_rows(spark, new), path, ["n"], buckets=buckets) == {"inserted": 10, "skipped": 0}
+    assert opened.pop() == []  # the filters know that all are new
+    seen = old[:10]
+    assert posts.land_posts(post_rows(spark, seen), path, ["n"], buckets=buckets) == {"inserted": 0, "skipped": 10}
+    own = {r[0] for r in post_rows(spark, seen).select(posts.bucket_of(F.col("url"), buckets)).collect()}
+    assert set(opened[0]) == own and len(own) <= 10
+    files = read(spark, path, opened[0]).inputFiles()
+    assert {int(f.split("/bucket=")[1].split("/")[0]) for f in files} == own
+    assert read(spark, path).count() == 3010
+
+
+def test_lost_and_full_filters_lose_no_row(spark, tmp_path, monkeypatch):
+    from pulse.sources.store import remove_folder
+
+    path = str(tmp_path / "posts")
+    monkeypatch.setattr(posts, "FILTER_WORDS", 1)  # soon full
+    urls = [f"u{i}" for i in range(400)]
+    for part in (urls[:100], urls[50:300], urls):
+        posts.land_posts(post_rows(spark, part), path, ["n"], buckets=4)
+    assert sorted(r["url"] for r in posts.stored_posts(spark, path).collect()) == sorted(urls)
+    remove_folder(spark, f"{path}/filters/bucket=1")
+    remove_folder(spark, f"{path}/filters/bucket=2")
+    assert posts.land_posts(post_rows(spark, [*urls, "x"]), path, ["n"], buckets=4) == {"inserted": 1, "skipped": 400}
+    assert posts.land_posts(post_rows(spark, [*urls, "x"]), path, ["n"], buckets=4)["inserted"] == 0
+
+
+def test_compacting_keeps_rows_and_filters(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    for i in range(4):
+        posts.land_posts(post_rows(spark, [f"u{i}-{j}" for j in range(20)]), path, ["n"], buckets=2)
+    assert len(posts.stored_posts(spark, path).inputFiles()) == 8
+    assert posts.compact_posts(spark, path, 2, 2) == [0, 1]
+    assert len(posts.stored_posts(spark, path).inputFiles()) == 2
+    again = post_rows(spark, [f"u{i}-{j}" for i in range(5) for j in range(20)])
+    assert posts.land_posts(again, path, ["n"], buckets=2) == {"inserted": 20, "skipped": 80}
+    assert posts.stored_posts(spark, path).count() == 100
 
 
 def traffic(spark, minute, total):
