@@ -66,8 +66,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from(table(spark, sf_dir, "documents"))
 
 
-def event_messages(events: DataFrame) -> DataFrame:
-    return events.select(F.col("ts").cast("timestamp").alias("ts"))
+def event_messages(events: DataFrame, *keep: str) -> DataFrame:
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), *keep)
 
 
 def daily_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

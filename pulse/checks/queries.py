@@ -6,6 +6,7 @@ Times and dates are shown as text so that results compare by value with any SQL
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,15 @@ from pulse.schema import (
     DailyParams,
     StreamParams,
 )
-from pulse.sources.readers import read_crawl_result, read_snapshot, read_token_stats, read_words
-from pulse.sources.sinks import SNAPSHOT_ROW, replace_dates, write_predictions, write_snapshot
+from pulse.sources.posts import stored_posts
+from pulse.sources.readers import (
+    read_crawl_result,
+    read_snapshot,
+    read_snapshots,
+    read_token_stats,
+    read_words,
+)
+from pulse.sources.sinks import replace_dates, write_predictions, write_snapshot
 from pulse.sources.store import materialize, read_or_empty, scratch
 from pulse.streaming import jobs
 
@@ -165,7 +173,8 @@ def rising_tokens(spark, sf_dir):
 
 @query
 def rising_tokens_latest(spark, sf_dir):
-    return trends.rising_latest(fx.messages(spark, sf_dir), PARAMS)
+    """With lower thresholds than the job's, as the last window may have few posts."""
+    return trends.rising_latest(fx.messages(spark, sf_dir), replace(PARAMS, min_count=2, min_delta=1))
 
 
 @query
@@ -255,12 +264,6 @@ def cleaned_docs(spark, sf_dir):
     return _docs(spark, sf_dir).drop("content_text")
 
 
-@query
-def cleaned_docs_as_written(spark, sf_dir):
-    cleaned = docs.cleaned_docs(fx.daily_posts(spark, sf_dir), as_written=True)
-    return cleaned.select("doc_id", "cleaned_text")
-
-
 @query
 def cleaned_docs_of_dates(spark, sf_dir):
     dates = docs.process_dates(fx.RUN_DATE, 3, rebuild=True)
@@ -289,13 +292,17 @@ def token_documents(spark, sf_dir):
     return docs.distinct_token_docs(docs.tokenize(_docs(spark, sf_dir), words=fx.STOPWORDS))
 
 
-def _short_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _word_file(spark: SparkSession, sf_dir: str) -> str:
     """A word list of thousands of lines: all words of documents up to five letters."""
     path = scratch(spark, "words")
     short = split_tokens(F.col("text"))
     words = fx.table(spark, sf_dir, "documents").select(F.explode(short).alias("value"))
     words.filter(F.length("value").between(1, 5)).distinct().write.text(path)
-    return read_words(spark, path)
+    return path
+
+
+def _short_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_words(spark, _word_file(spark, sf_dir))
 
 
 @query
@@ -499,6 +506,19 @@ def post_validation(spark, sf_dir):
     return ingest.validate_posts(fx.raw_posts(spark, sf_dir)).select("doc_id", "error_message")
 
 
+@query
+def post_content_kinds(spark, sf_dir):
+    """Crawled posts as JSON whose content is text or something else."""
+    n = F.col("doc_id")
+    text = F.to_json(F.struct(F.col("text").alias("content_text")))
+    other = fx._pick(n, None, n.cast("string"), "false", "true", "null", "[]", '{"a": [1, 2.5]}', "0", '""')
+    rest = F.when(n % 9 == 0, F.expr("substring(t, 2)")).otherwise(F.concat(F.lit('"content_text": '), other, F.lit("}")))
+    head = F.concat(F.lit('{"url": "u'), n.cast("string"), F.lit('", "title": "T", '))
+    value = fx.table(spark, sf_dir, "documents").withColumn("t", text).select("doc_id", F.concat(head, rest).alias("value"))
+    checked = ingest.validate_posts(ingest.decode_crawled(value))
+    return checked.select("doc_id", "url", "content_text", "content_json", "error_message")
+
+
 @query
 def post_clean(spark, sf_dir):
     return ingest.clean_posts(fx.raw_posts(spark, sf_dir))
@@ -802,7 +822,7 @@ def dashboard_limit(spark, sf_dir):
 
 
 def _history(spark: SparkSession, target: str, name: str, schema: T.StructType) -> DataFrame:
-    return serve.decode(read_or_empty(spark, f"{target}/{name}", SNAPSHOT_ROW).select("payload"), schema)
+    return serve.decode(read_snapshots(spark, target, name).select("payload"), schema)
 
 
 @query
@@ -847,4 +867,41 @@ def stream_landing(spark, sf_dir):
         {"postdate": F.lit("20240107"), "discovered_at": F.lit("2024-01-07T10:00:00Z")}
     )
     jobs.run_landing(stream, f"{target}/posts", f"{target}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{target}/posts")
+    return stored_posts(spark, f"{target}/posts")
+
+
+@query
+def stream_word_list(spark, sf_dir):
+    """Word counts of a stream that leaves out a list too long for its plan."""
+    target = scratch(spark, "listed")
+    stream = fx.messages_from(fx.stream_table(spark, sf_dir, "documents"))
+    listed = _word_file(spark, sf_dir)
+    jobs.run_trends(
+        stream, target, f"{target}/checkpoint", PARAMS, top=False, rising=False, words=listed
+    ).awaitTermination()
+    return jobs.counts_of(spark, target)
+
+
+@query
+def stream_late_posts(spark, sf_dir):
+    """Three batches by post number; windows close half an hour behind the batches before."""
+    target, messages = scratch(spark, "late"), fx.messages(spark, sf_dir)
+    params = replace(PARAMS, lateness="30 minutes")
+    for i in range(3):
+        jobs.add_posts(messages.filter(F.col("msg_id") % 3 == i), target, params, i, top=False, rising=False)
+    late = jobs.late_messages(spark, target).select("window_end", F.col("posts").alias("late"))
+    return late.join(jobs.windows_of(spark, target).select("window_end", "total_posts"), "window_end", "full")
+
+
+@query
+def stream_late_traffic(spark, sf_dir):
+    """Events in three files, one a batch; windows close two days behind the batches before."""
+    target, events = scratch(spark, "late-traffic"), fx.event_messages(fx.table(spark, sf_dir, "events"), "event_id")
+    for i in range(3):
+        events.filter(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(f"{target}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/in")
+    params = replace(PARAMS, lateness="2 days")
+    jobs.run_traffic(stream, target, f"{target}/checkpoint", params).awaitTermination()
+    late = jobs.late_messages(spark, target).select(iso_z(F.col("window_end")).alias("window_end"), F.col("traffic").alias("late"))
+    shown = _history(spark, target, "traffic", TRAFFIC_SNAPSHOT).select("window_end", "total_posts", "prev_total_posts")
+    return late.join(shown, "window_end", "full")

@@ -10,9 +10,12 @@ Shapes passed between the functions:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulse.functions.numbers import change_label, rate, serve_round, share, traffic_text
 from pulse.functions.text import distinct_tokens, tokens_stream
@@ -83,19 +86,51 @@ def traffic_summary(windows: DataFrame, step: str = TEN_MINUTES) -> DataFrame:
     )
 
 
+def _packed(order: Sequence[str], df: DataFrame) -> Column:
+    """The order columns as one number, so that map tasks reduce it in place.
+
+    A time and a whole number fit into 38 digits; any other order stays a struct, without texts.
+    """
+    kinds = [df.schema[c].dataType for c in order]
+    whole = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    if len(order) == 2 and isinstance(kinds[0], T.TimestampType) and isinstance(kinds[1], whole):
+        big = F.lit(str(1 << 64)).cast("decimal(20,0)")
+        at = F.unix_micros(order[0]).cast("decimal(17,0)")
+        return (at * big + F.col(order[1]).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return F.struct(*order)
+
+
+def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key; rows without a key value share one.
+
+    Keys and order are reduced alone, without the other columns. Only keys that come more than once
+    are joined back, to leave out all but their first row, so a row moves only if there are
+    too many such keys to send them out. Of rows equal in key and order one stays; where there are
+    none, which is known before the second branch starts, it is not run.
+    """
+    at = _packed(order, df)
+    slim = df.select(*key, at.alias("_at"))
+    names = [f"_key_{i}" for i in range(len(key))]
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(key, names, strict=True)])
+    whole = slim.groupBy(*[F.col(c).alias(n) for c, n in zip(key, names, strict=True)])
+    repeated = whole.agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    firsts = slim.join(repeated, same & (F.col("_at") == F.col("_first")))
+    marks = firsts.groupBy(*names, "_first").agg((F.count(F.lit(1)) > 1).alias("_tied"))
+    rows = df.withColumn("_own", at)
+    first = F.col("_own") == F.col("_first")
+    kept = rows.join(marks, same, "left").filter(F.col("_first").isNull() | (first & ~F.col("_tied")))
+    tied = rows.join(marks.filter("_tied"), same).filter(first).dropDuplicates(list(key))
+    return kept.select(*df.columns).unionByName(tied.select(*df.columns))
+
+
 def first_per_window(
     messages: DataFrame,
     keep: Sequence[str],
     order: Sequence[str] = ("ts", "msg_id"),
     duration: str = TEN_MINUTES,
 ) -> DataFrame:
-    """First arrival of each url in each window, with the columns to keep.
-
-    Map tasks already reduce to one row per window and url, so a url that repeats in a
-    third of the input ships one row per task. Rows without url share one group.
-    """
-    best = F.min_by(F.struct(*keep), F.struct(*order)).alias("first")
-    return windowed(messages, duration).groupBy("w", "url").agg(best).select("w", "url", "first.*")
+    """First arrival of each url in each window, with the columns to keep. Rows without url share one group."""
+    return first_rows(windowed(messages, duration), ["w", "url"], order).select("w", "url", *keep)
 
 
 def post_tokens(
@@ -105,20 +140,15 @@ def post_tokens(
 
     ``keep`` names more columns of that arrival.
 
-    Texts become their distinct words before the shuffle. The row with a null url stands for
-    undecodable messages.
+    Words are taken from the rows that stay. The row with a null url stands for undecodable messages.
     """
+    own = messages.withColumn("url", F.nullif("url", F.lit("")))
     words = tokens_stream(
         F.col("title"), F.col("content_text"), params.stopwords, params.token_cap
     )
-    url = F.nullif("url", F.lit(""))
-    slim = messages.select(
-        "ts",
-        "msg_id",
-        url.alias("url"),
-        F.when(url.isNotNull(), distinct_tokens(words)).alias("tokens"),
-    )
-    return first_per_window(slim, [*keep, "tokens"], duration=params.window)
+    first = first_per_window(own, [*keep, "title", "content_text"], duration=params.window)
+    tokens = F.when(F.col("url").isNotNull(), distinct_tokens(words)).alias("tokens")
+    return first.select("w", "url", *keep, tokens)
 
 
 def token_rows(posts: DataFrame) -> DataFrame:
@@ -139,6 +169,16 @@ def token_rows(posts: DataFrame) -> DataFrame:
     return _bounds(counted, "token", "cnt")
 
 
+def without_listed(rows: DataFrame, words: DataFrame | None) -> DataFrame:
+    """Count rows without those of listed words (``word``), for lists too long for a plan.
+
+    One row per window and word is joined, not every mention. A cap on the words of a post comes before.
+    """
+    if words is None:
+        return rows
+    return rows.join(words.select(F.col("word").alias("token")), "token", "left_anti").select(*rows.columns)
+
+
 def window_token_rows(messages: DataFrame, params: StreamParams = StreamParams()) -> DataFrame:
     """Posts per window and word, with the number of posts under the empty word."""
     return token_rows(post_tokens(messages, params))
@@ -154,10 +194,10 @@ def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def window_token_counts(
-    messages: DataFrame, params: StreamParams = StreamParams()
+    messages: DataFrame, params: StreamParams = StreamParams(), words: DataFrame | None = None
 ) -> DataFrame:
-    """Posts that contain a word, per window and word."""
-    return split_rows(window_token_rows(messages, params))[0]
+    """Posts that contain a word, per window and word, without the words of a table if one is given."""
+    return without_listed(split_rows(window_token_rows(messages, params))[0], words)
 
 
 def window_posts(messages: DataFrame, duration: str = TEN_MINUTES) -> DataFrame:
@@ -292,33 +332,44 @@ def top_tokens_latest(counts: DataFrame, windows: DataFrame, n: int = 20) -> Dat
     return _top_columns(rank_in_window(totals, [F.col("cum").desc(), F.col("token").asc()]))
 
 
-def fired_windows(windows: DataFrame) -> DataFrame:
-    """Each window once, with the end of the one that fired before it.
+def _neighbours(windows: DataFrame) -> DataFrame:
+    """Each window once, with the ends of those that fired before and after it.
 
     The only ordering without a partition key; the window list has 144 rows a day.
     """
     once = windows.groupBy("window_end").agg(
         F.first("window_start").alias("window_start"), F.max("total_posts").alias("total_posts")
     )
-    return once.withColumn("prev_end", F.lag("window_end").over(Window.orderBy("window_end")))
+    order = Window.orderBy("window_end")
+    return once.withColumns(
+        {"prev_end": F.lag("window_end").over(order), "next_end": F.lead("window_end").over(order)}
+    )
+
+
+def fired_windows(windows: DataFrame) -> DataFrame:
+    """Each window once, with the end of the one that fired before it."""
+    return _neighbours(windows).drop("next_end")
 
 
 def with_prev_fired(counts: DataFrame, windows: DataFrame) -> DataFrame:
     """Add each word's count in the last window that fired, 0 if it was absent there.
 
-    The word's own previous row is found by one sort per word; it counts only when it
-    belongs to the window that fired last.
+    History is cut into UTC days. A day gets its own counts and, from the day before that has windows,
+    those of the last window, so a group is one word of one day: 145 rows at most, however
+    long the history. The word's row before counts only when it belongs to the window that fired last.
     """
-    word = Window.partitionBy("token").orderBy("window_end")
-    back = counts.select(
-        "window_end",
-        "token",
-        "cnt",
-        F.lag("cnt").over(word).alias("last_cnt"),
-        F.lag("window_end").over(word).alias("last_end"),
+    day, next_day = F.to_date("window_end"), F.to_date("next_end")
+    listed = _neighbours(windows).select(
+        "window_start", "window_end", "total_posts", "prev_end", day.alias("day"),
+        F.when(next_day > day, F.array(day, next_day)).otherwise(F.array(day)).alias("handed"),
+    )
+    rows = counts.select("window_end", "token", "cnt").join(listed, "window_end")
+    word = Window.partitionBy("block", "token").orderBy("window_end")
+    back = rows.withColumn("block", F.explode("handed")).select(
+        "*", F.lag("cnt").over(word).alias("last_cnt"), F.lag("window_end").over(word).alias("last_end")
     )
     prev = F.when(F.col("last_end") == F.col("prev_end"), F.col("last_cnt"))
-    return back.join(fired_windows(windows), "window_end").select(
+    return back.filter("block = day").select(
         "window_start",
         "window_end",
         "total_posts",
@@ -366,10 +417,8 @@ def with_prev_fired_all(counts: DataFrame, windows: DataFrame) -> DataFrame:
 
     Each count is offered to its own window and, as the previous count, to the next one.
     """
-    fired = fired_windows(windows)
-    later = fired.select(
-        F.col("prev_end").alias("window_end"), F.col("window_end").alias("next_end")
-    ).filter("window_end is not null")
+    fired = _neighbours(windows)
+    later = fired.select("window_end", "next_end").filter("next_end is not null")
     zero = F.lit(0).cast("long")
     own = F.struct(F.col("window_end").alias("at"), F.col("cnt").alias("cnt"), zero.alias("prev"))
     ahead = F.struct(F.col("next_end").alias("at"), zero.alias("cnt"), F.col("cnt").alias("prev"))
@@ -380,7 +429,7 @@ def with_prev_fired_all(counts: DataFrame, windows: DataFrame) -> DataFrame:
         .filter("o.at is not null")
         .groupBy(F.col("o.at").alias("window_end"), "token")
         .agg(F.sum("o.cnt").alias("cnt"), F.sum("o.prev").alias("prev_count"))
-        .join(fired.drop("prev_end"), "window_end")
+        .join(fired.drop("prev_end", "next_end"), "window_end")
     )
 
 

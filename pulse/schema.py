@@ -163,6 +163,8 @@ class StreamParams:
     token_cap: int | None = None
     stopwords: tuple[str, ...] = DEFAULT_STOPWORDS
     ttl_seconds: int = 86400
+    #: Windows this far behind the newest message take no more messages; None: none is ever late.
+    lateness: str | None = None
 
 
 @dataclass(frozen=True)

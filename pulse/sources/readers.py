@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 from pulse.functions.text import DEFAULT_STOPWORDS
 from pulse.operators.serve import dashboard_latest, decode, latest_snapshot
 from pulse.schema import FAILURE, POST_MESSAGE, SNAPSHOT_SCHEMAS
+from pulse.sources import log
 from pulse.sources.sinks import SNAPSHOT_ROW
-from pulse.sources.store import day_names, read_days
+from pulse.sources.store import day_names
 
 # A word list becomes part of the plan, so it has to stay small.
 MAX_STOPWORDS = 100_000
@@ -159,10 +160,17 @@ def load_stopwords(
     extra = (w.strip() for w in extra_csv.split(","))
     words.update(w.lower() if lower else w for w in extra if w)
     if len(words) > MAX_STOPWORDS:
-        raise ValueError(f"more than {MAX_STOPWORDS} stopwords; use read_words and without_words")
+        raise ValueError(f"more than {MAX_STOPWORDS} stopwords; name the list as a table instead")
     return tuple(sorted(words or default))
 
 
+def read_snapshots(
+    spark: SparkSession, path: str, name: str, days: Collection[date] | None = None
+) -> DataFrame:
+    """Snapshots of a kind as stored, the newest write of each window, of some days or all."""
+    return log.latest(log.read(spark, f"{path}/{name}", SNAPSHOT_ROW, days))
+
+
 def read_snapshot(
     spark: SparkSession, path: str, name: str, now: datetime | None = None
 ) -> DataFrame:
@@ -170,10 +178,9 @@ def read_snapshot(
 
     Days are opened from the newest on until one has a snapshot that has not expired.
     """
-    root = f"{path}/{name}"
     newest = spark.createDataFrame([], SNAPSHOT_ROW)
-    for day in reversed(day_names(spark, root)):
-        newest = latest_snapshot(read_days(spark, root, SNAPSHOT_ROW, day, day), now)
+    for day in reversed(day_names(spark, f"{path}/{name}")):
+        newest = latest_snapshot(read_snapshots(spark, path, name, [day]), now)
         if not newest.isEmpty():
             break
     return decode(newest.select("payload"), SNAPSHOT_SCHEMAS[name])

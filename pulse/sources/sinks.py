@@ -16,19 +16,15 @@ from pyspark.sql import types as T
 from pulse.functions.dates import instant
 from pulse.operators.ingest import RAW, publish_summary
 from pulse.operators.serve import encode, merge_reports
-from pulse.schema import POST, REPORT
+from pulse.schema import REPORT
+from pulse.sources import log
 from pulse.sources.store import materialize, read_or_empty
 
-# Urls of one batch are broadcast up to this many bytes.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 SNAPSHOT_ROW = T.StructType(
     [
         T.StructField("window_end", T.TimestampType()),
         T.StructField("payload", T.StringType()),
         T.StructField("expires_at", T.TimestampType()),
-        T.StructField("window_day", T.DateType()),
-        T.StructField("window_key", T.StringType()),
     ]
 )
 
@@ -66,53 +62,6 @@ def write_predictions(predictions: DataFrame, path: str, predict_date: date) ->
     return replace_dates(predictions, path, "predict_date", [predict_date])[predict_date]
 
 
-def land_posts(
-    batch: DataFrame,
-    path: str,
-    order: Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> dict[str, int]:
-    """Append the first row of each new url; stored urls are left alone, rows without one skipped.
-
-    The keys of a batch are measured. When they are small the stored urls are filtered against
-    them without moving the table; otherwise both sides are shuffled by url.
-    """
-    rest = [c for c in POST.names if c != "url"]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("first")
-    urls = batch.groupBy("url").agg(first, F.count(F.lit(1)).alias("rows")).persist()
-    try:
-        size = urls.agg(
-            F.coalesce(F.sum(F.octet_length("url")), F.lit(0)).alias("bytes"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        ).first()
-        stored = read_or_empty(batch.sparkSession, path, POST).select("url")
-        if size["bytes"] <= broadcast_bytes:
-            stored = stored.join(F.broadcast(urls.select("url")), "url", "left_semi")
-        inserted = Observation()
-        fresh = (
-            urls.filter(F.length("url") > 0)
-            .join(stored, "url", "left_anti")
-            .select("url", "first.*")
-            .observe(inserted, F.count(F.lit(1)).alias("n"))
-        )
-        fresh.write.mode("append").parquet(path)
-        new = inserted.get["n"]
-    finally:
-        urls.unpersist()
-    return {"inserted": new, "skipped": size["rows"] - new}
-
-
-def overwrite_windows(df: DataFrame, path: str) -> None:
-    """Replace the rows of the windows that occur in ``df``, one folder per window."""
-    keyed = df.withColumns(
-        {
-            "window_day": F.to_date("window_end"),
-            "window_key": F.date_format("window_end", "yyyyMMddHHmm"),
-        }
-    )
-    overwrite_partitions(keyed.hint("rebalance", "window_key"), path, ["window_day", "window_key"])
-
-
 def write_snapshot(
     snapshots: DataFrame,
     path: str,
@@ -120,7 +69,7 @@ def write_snapshot(
     ttl_seconds: int | None = None,
     now: datetime | None = None,
 ) -> None:
-    """Store snapshots by window, replacing those of the same window; the newest is the current one.
+    """Append snapshots to the log of their kind; the newest write of a window counts.
 
     Without a time to live a snapshot never expires.
     """
@@ -130,7 +79,7 @@ def write_snapshot(
     rows = encode(snapshots, "window_end").select(
         "window_end", "payload", expires.alias("expires_at")
     )
-    overwrite_windows(rows, f"{path}/{name}")
+    log.append(rows, f"{path}/{name}")
 
 
 def upsert_reports(new: DataFrame, path: str) -> None:

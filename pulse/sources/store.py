@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -43,14 +44,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def day_names(spark: SparkSession, path: str, column: str = "window_day") -> list[date]:
-    """Days of a table foldered by day, from the names of its folders alone."""
+def _path(spark: SparkSession, path: str):
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the names of the folders alone."""
+    root, fs = _path(spark, path)
     if not fs.exists(root):
         return []
     names = [f.getPath().getName() for f in fs.listStatus(root)]
-    return sorted(date.fromisoformat(n.split("=")[1]) for n in names if n.startswith(f"{column}="))
+    return sorted(n.split("=")[1] for n in names if n.startswith(f"{column}="))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    root, fs = _path(spark, path)
+    fs.delete(root, True)
+
+
+def day_names(spark: SparkSession, path: str, column: str = "window_day") -> list[date]:
+    """Days of a table foldered by day."""
+    return [date.fromisoformat(n) for n in folder_names(spark, path, column)]
 
 
 def read_days(
@@ -60,11 +75,12 @@ def read_days(
     first: date | None = None,
     last: date | None = None,
     column: str = "window_day",
+    days: Collection[date] | None = None,
 ) -> DataFrame:
-    """Rows of the days in a range; the files of other days are not even listed."""
+    """Rows of the days in a range, or of listed ones; the files of other days are not even listed."""
     days = [
         d for d in day_names(spark, path, column)
-        if (first is None or d >= first) and (last is None or d <= last)
+        if (first is None or d >= first) and (last is None or d <= last) and (days is None or d in days)
     ]
     if not days:
         return spark.createDataFrame([], schema)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pulse.operators import windows as w
 from pulse.operators.ingest import dead_letters, decode_messages, decode_posts
 from pulse.operators.serve import decode, encode
-from pulse.schema import POST, RISING_SNAPSHOT, TOP_SNAPSHOT, TRAFFIC_SNAPSHOT, StreamParams
-from pulse.sources.readers import MESSAGE_ROW, read_dashboard, read_posts_stream, read_snapshot
+from pulse.schema import RISING_SNAPSHOT, TOP_SNAPSHOT, TRAFFIC_SNAPSHOT, StreamParams
+from pulse.sources.posts import stored_posts
+from pulse.sources.readers import MESSAGE_ROW, read_dashboard, read_posts_stream, read_snapshot, read_snapshots
 from pulse.sources.sinks import SNAPSHOT_ROW
-from pulse.sources.store import day_names, read_or_empty
+from pulse.sources.store import day_names, folder_names
 from pulse.streaming import jobs
 
 START = datetime(2024, 1, 1, 23, 30, tzinfo=UTC)
@@ -41,7 +42,7 @@ SECOND = [
 
 
 def history(spark, target, name, schema):
-    rows = read_or_empty(spark, f"{target}/{name}", SNAPSHOT_ROW).select("payload")
+    rows = read_snapshots(spark, target, name).select("payload")
     return [tuple(r) for r in decode(rows, schema).orderBy("window_end").collect()]
 
 
@@ -193,7 +194,7 @@ def test_landing_over_two_runs(spark, tmp_path):
     run()
     write(spark, source, [(3000, message("a", "newer")), (3001, message("y", "x"))], 100)
     run()
-    rows = {r["url"]: r["content_text"] for r in read_or_empty(spark, path, POST).collect()}
+    rows = {r["url"]: r["content_text"] for r in stored_posts(spark, path).collect()}
     assert rows == {"a": "news spark", "b": "news", "c": "spark", "d": "spark", "y": "x"}
     assert seen == [{"inserted": 4, "skipped": 2}, {"inserted": 1, "skipped": 1}]
 
@@ -220,3 +221,97 @@ def test_late_rows_correct_their_window(spark, tmp_path):
     run_trends(spark, source, target)
     assert both(spark, target) == expected(spark, rows + late)
     assert [t[2] for t in history(spark, target, "top", TOP_SNAPSHOT)] == [2, 1, 1]
+
+
+def writes(spark, target, name):
+    """Writes of each window in a log."""
+    from pulse.sources import log
+
+    rows = log.read(spark, f"{target}/{name}", SNAPSHOT_ROW).select(F.date_format("window_end", "dd HH:mm").alias("at"), "seq")
+    found = {}
+    for r in rows.collect():
+        found.setdefault(r["at"], set()).add(r["seq"])
+    return {at: len(seqs) for at, seqs in found.items()}
+
+
+def test_a_late_message_leaves_other_windows_alone(spark, tmp_path):
+    target = str(tmp_path)
+    day = 86_400
+    for i in range(4):
+        rows = [(day * i + 600 * k, message(f"u{i}-{k}", "news spark")) for k in range(3, 6)]
+        jobs.add_posts(batch_rows(spark, rows, 100 * i), target, PARAMS, i)
+        jobs.add_traffic(batch_rows(spark, rows, 100 * i), target, i)
+    before = {n: writes(spark, target, n) for n in ("traffic", "top", "rising")}
+    late = [(day + 600 * 4, message("late", "news"))]
+    jobs.add_posts(batch_rows(spark, late, 900), target, PARAMS, 9)
+    jobs.add_traffic(batch_rows(spark, late, 900), target, 9)
+    changed = {
+        n: sorted(at for at, w in writes(spark, target, n).items() if w != before[n].get(at)) for n in before
+    }
+    # 23:30 on the first day plus a day and 40 minutes
+    assert changed["traffic"] == ["03 00:20", "03 00:30"]
+    assert changed["top"] == ["03 00:20", "03 00:30"]  # to the end of the day
+    assert changed["rising"] == ["03 00:20", "03 00:30"]  # and the one that fired next
+
+
+def test_a_newest_window_reads_running_totals_not_the_day(spark, tmp_path, monkeypatch):
+    target, opened = str(tmp_path), []
+    counts_at = jobs._counts_at
+    monkeypatch.setattr(jobs, "_counts_at", lambda s, t, f, times: (opened.append(len(times)), counts_at(s, t, f, times))[1])
+    monkeypatch.setattr(jobs, "KEPT_EVERY", 3)
+    rows = [(1800 + 600 * k, message(f"u{k}", f"news w{k} spark")) for k in range(11)]
+    for k, row in enumerate(rows):
+        opened.clear()
+        jobs.add_posts(batch_rows(spark, [row], k), target, PARAMS, k, rising=False)
+        assert sum(opened) <= 1 + jobs.KEPT_EVERY
+    assert both(spark, target)[0] == expected(spark, rows)[0]
+    opened.clear()
+    late = (1800 + 600 * 7, message("late", "news extra"))
+    jobs.add_posts(batch_rows(spark, [late], 900), target, PARAMS, 99, rising=False)
+    assert sum(opened) <= 4 + jobs.KEPT_EVERY  # the window, those after it, and those since the totals before it
+    assert both(spark, target)[0] == expected(spark, [*rows, late])[0]
+
+
+def test_late_messages_are_counted_apart(spark, tmp_path):
+    target = str(tmp_path)
+    params = StreamParams(top_n=3, min_count=2, min_delta=1, lateness="20 minutes")
+    batches = [
+        [(0, message("a", "news")), (3000, message("b", "news"))],  # to 00:20
+        [(10, message("c", "news")), (1250, message("d", "news")), (3100, message("e", "news")), (1801, "{broken")],
+        [(1200, message("f", "news"))],
+    ]
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # each is replayed
+            jobs.add_posts(batch_rows(spark, rows, 10 * i), target, params, i)
+            totals = batch_rows(spark, [r for part in batches[: i + 1] for r in part])
+            jobs.put_traffic(jobs.traffic_state(totals), target, i, lateness=params.lateness)
+    late = {r["at"]: (r["posts"], r["traffic"]) for r in jobs.late_messages(spark, target).select(
+        F.date_format("window_end", "HH:mm").alias("at"), "posts", "traffic").collect()}
+    assert late == {"23:40": (1, 1), "00:00": (2, 2)}
+    kept = [rows for part in batches for rows in part if rows[0] not in (10, 1250, 1200)]
+    assert [t[2] for t in both(spark, target)[0]] == [t[2] for t in expected(spark, kept)[0]] == [1, 0, 2]
+    assert [(t[0], t[1]) for t in history(spark, target, "traffic", TRAFFIC_SNAPSHOT)] == [(1, 0), (1, 0), (2, 0)]
+
+
+def test_compacting_the_history_changes_no_result(spark, tmp_path):
+    target = str(tmp_path)
+    for i, part in enumerate((FIRST, SECOND)):
+        jobs.add_posts(batch_rows(spark, part, 100 * i), target, PARAMS, i)
+        jobs.add_traffic(batch_rows(spark, part, 100 * i), target, i)
+    seen = both(spark, target), history(spark, target, "traffic", TRAFFIC_SNAPSHOT)
+    jobs.compact_history(spark, target)
+    assert (both(spark, target), history(spark, target, "traffic", TRAFFIC_SNAPSHOT)) == seen
+    for name in ("traffic", "top", "rising", "windows"):
+        for day in day_names(spark, f"{target}/{name}"):
+            assert len(folder_names(spark, f"{target}/{name}/window_day={day}", "seq")) == 1
+    more = [(9100, message("y", "spark"))]
+    jobs.add_posts(batch_rows(spark, more, 900), target, PARAMS, 2)
+    assert both(spark, target) == expected(spark, FIRST + SECOND + more)
+
+
+def test_a_word_list_of_a_file_is_left_out(spark, tmp_path):
+    target, words = str(tmp_path / "out"), str(tmp_path / "words")
+    spark.createDataFrame([("Spark",), ("# late",)], "value string").coalesce(1).write.text(words)
+    jobs.add_posts(batch_rows(spark, FIRST + SECOND), target, PARAMS, words=words)
+    assert {r["token"] for r in jobs.counts_of(spark, target).collect()} == {"news", "late", "end"}
+    assert jobs.windows_of(spark, target).count() == 6
