@@ -106,17 +106,20 @@ def _short_names() -> str:
     return "|".join(sorted(short, key=len, reverse=True))
 
 
+def _controls() -> str:
+    """Characters of the numbers that HTML reads as the Windows code page, as a JSON object."""
+    return json.dumps({str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)})
+
+
 def _character(n: Column) -> Column:
     """The character of a number; what HTML replaces or drops is replaced or dropped."""
-    control = F.when(n == 13, "\r")
-    for code in range(0x80, 0xA0):  # read as the Windows code page
-        control = control.when(n == code, bytes([code]).decode("cp1252", "ignore") or chr(code))
-    dropped = n.between(1, 8) | n.between(14, 31) | (n == 11) | (n == 127) | n.between(0xFDD0, 0xFDEF)
-    dropped |= (n % 0x10000).isin(0xFFFE, 0xFFFF)
+    controls = F.from_json(F.lit(_controls()), "map<string,string>")
+    dropped = n.between(1, 8) | n.between(14, 31) | n.isin(11, 127)
+    dropped |= n.between(0xFDD0, 0xFDEF) | (n % 0x10000).isin(0xFFFE, 0xFFFF)
     plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
     return (
         F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd")
-        .when((n == 13) | n.between(0x80, 0x9F), control)
+        .when(n.between(0x80, 0x9F), F.element_at(controls, n.cast("string")))
         .when(dropped, "")
         .otherwise(plain)
     )
@@ -130,14 +133,14 @@ def decode_entities(c: Column) -> Column:
         digits = F.regexp_extract(p, r"^&#([0-9]+)", 1)
         hexed = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+)", 1)
         # ten digits are beyond all characters, and so is anything longer
-        number = F.when(F.length(digits) < 12, digits.cast("long"))
-        from_hex = F.when(F.length(hexed) < 12, F.conv(hexed, 16, 10).cast("long"))
+        number = F.when(F.length(digits).between(1, 11), digits.cast("long")).when(
+            F.length(hexed).between(1, 11), F.conv(hexed, 16, 10).cast("long")
+        )
         named = F.element_at(names, F.substring(p, 2, 64))
         short = F.regexp_extract(p, f"^&({_short_names()})", 1)
         rest = F.substr(p, F.length(short) + 2)
         return (
-            F.when(digits != "", _character(number))
-            .when(hexed != "", _character(from_hex))
+            F.when((digits != "") | (hexed != ""), _character(number))
             .when(named.isNotNull(), named)
             .when(short != "", F.concat(F.element_at(names, short), rest))
             .otherwise(p)

@@ -171,6 +171,46 @@ def test_pages_fall_back_and_may_miss(spark):
     assert extracted(spark, "<h1>A</h1><article>b</article>", **rules) == ("A", "b")
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div id='postViewArea'>a<div>b</div>c</div>d", "a\nb\nc"),
+    ("<DIV data-x='a>b' ID=postViewArea >a</DIV >b", "a"),
+    ('<div title="id=postViewArea">no</div><div id="postViewArea">yes', "yes"),
+    ("<div id=postViewAreas>no</div><div class='x post_ct y'>yes</div>", "yes"),
+    ("<div class='post_ctx'>no</div>", None),
+    ("</div></div><div id=postViewArea></p>a</div></div>b", "a"),
+    ("<div id=postViewArea><!-- <div> no --> a <br/> b &amp; c <script>'</div>'</script> d", "a\nb & c\nd"),
+    ("<div id=postViewArea>1 < 2 <b>3</b></div>", "1\n<\n2\n3"),
+    ("<div id=postViewArea>&nbsp; <p> </p></div><div class=post_ct>later</div>", ""),
+    ("<div id=postViewArea><style>no", ""),
+    ("", None),
+    ("<div", None),
+])
+def test_bodies_of_nested_unclosed_and_odd_tags(spark, html, want):
+    assert extracted(spark, html, title_rules=(p.Rule("title"),)) == (None, want)
+
+
+def test_titles_of_a_child_in_an_element(spark):
+    rules = {"title_rules": (p.Rule("div", "class", "t", inner="span"), p.Rule("title")), "body_rules": (p.Rule("p"),)}
+    cases = {
+        "<span>no</span><div class=t>x<span>a<span>b</span>c</span><span>d</span></div>": "a b c",
+        "<div class=t><div>x</div></div><div class=t><div><span>a": "a",
+        "<div class=t><span>a</div>b</span>": "a",
+        "<div class=t>none</div><title>fall &amp;amp; back</title>": "fall & back",
+        "<div class=t><span>&nbsp;</span></div><title>t</title>": "t",
+    }
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(cases)], "id int, html string")
+    got = [r["page_title"] for r in p.extract_pages(df, **rules).orderBy("id").collect()]
+    assert got == list(cases.values())
+
+
+def test_pages_need_no_python_and_take_long_texts(spark):
+    df = spark.createDataFrame([("<div id=postViewArea>" + "<p>word &lt; x</p>" * 20_000 + "</div>" + "<" * 20_000,)], "html string")
+    plan = p.extract_pages(df)
+    assert len(plan.first()["content_text"]) == 20_000 * 9 - 1
+    steps = plan._jdf.queryExecution().executedPlan().toString()
+    assert not any(s in steps for s in ("MapInPandas", "MapInArrow", "EvalPython"))
+
+
 def test_regex_title_agrees_on_plain_pages(spark):
     df = spark.createDataFrame([(1, "<TITLE lang=en> a &amp;lt; b </TITLE>"), (2, "no")], "id int, html string")
     assert [r["page_title"] for r in p.page_titles(df).orderBy("id").collect()] == ["a < b", None]
