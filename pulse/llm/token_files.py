@@ -210,14 +210,18 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
 
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text"
-    )
+    # by the text too, so that rows without an id, or of one id, are not all one range
+    order = [F.col("doc_id").asc_nulls_first(), F.substring("text", 1, 64), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     target = f"{folder.rstrip('/')}/manifest"
     ordered.mapInArrow(write, MANIFEST).write.parquet(target)
     return spark.read.schema(MANIFEST).parquet(target)
 
 
+#: Tasks that read files back, at most.
+MOST_READERS = 20_000
+
+
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document, read back: doc_id, start, n_tokens, ids_crc32.
 
@@ -253,8 +257,9 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     files = manifest.select(
         "path", F.coalesce(F.sum("n_ids").over(upto), F.lit(0)).alias("before")
     )
-    # the sum leaves all files in one partition: deal them out again, one file is one unit of work
-    spread = files.repartition(F.col("path"))
+    # the sum leaves all files in one partition: deal them out again, one file is one unit of work. The
+    # number is given, as partitions of a few short rows each would be merged into one.
+    spread = files.repartition(max(1, min(manifest.count(), MOST_READERS)), "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
