@@ -130,13 +130,18 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
     return sequence, offset
 
 
+def dealt_over(cut: DataFrame, groups: int) -> DataFrame:
+    return cut.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+
+
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY,
          group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Every piece with its sequence and its place there."""
     cut = materialize(pieces(docs, vocabulary, capacity))
     groups = max(1, -(-cut.count() // group_pieces))
-    # rows of one partition are dealt in turn, so equal ids and lengths spread over all groups
-    dealt = cut.withColumn("grp", F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+    # by a hash of the row's place, so that equal ids and lengths spread over all groups, and so do the
+    # first rows of many small partitions
+    dealt = dealt_over(cut, groups)
 
     def place(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()

@@ -120,5 +120,26 @@ def test_packing_is_tight():
         assert used.max() <= 4096 and (offset + lengths <= 4096).all()
         large = np.bincount(sequence, lengths > 4096 // 3)
         assert large.max() <= 2
-        bound = max(lengths.sum() / 4096, (lengths > 2048).sum())
-        assert len(used) <= 1.12 * bound + 1 or (lengths > 1365).all()
+        # no sequence holds three pieces of over a third
+        bound = max(lengths.sum() / 4096, (lengths > 2048).sum(), (lengths > 1365).sum() / 2)
+        assert len(used) <= 1.12 * bound + 1
+
+
+def test_many_small_partitions_fill_all_groups(spark):
+    rows = spark.range(4000).repartition(200)
+    sizes = {r["grp"]: r["count"] for r in packing.dealt_over(rows, 16).groupBy("grp").count().collect()}
+    assert len(sizes) == 16 and max(sizes.values()) < 400
+
+
+def test_files_are_read_back_by_as_many_tasks(spark):
+    rows = [(None, f"{i} words without an id") for i in range(300)] + [(7, f"words {i} of one id") for i in range(300)]
+    folder, merging = scratch(spark, "files"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        manifest = token_files.write_token_files(documents(spark, rows), folder, VOCABULARY, file_ids=400)
+    finally:
+        spark.conf.set(merging, "true")
+    found = token_files.read_token_files(manifest, folder)
+    assert found.rdd.getNumPartitions() == manifest.count() > 4
+    assert manifest.select("part").distinct().count() > 2  # neither the null nor the repeated id is one range
+    assert [r["doc_id"] for r in found.orderBy("start").collect()] == [None] * 300 + [7] * 300
