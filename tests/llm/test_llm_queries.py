@@ -72,7 +72,31 @@ def test_stages_take_nulls_repeated_rows_and_empty_tables(spark):
         docs = documents(spark, table)
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF_DIR)
-        assert len(docs.collect()) == (2 if table else 0)
+        assert len(docs.collect()) == (3 if table else 0)
+
+
+def test_documents_without_an_id_of_their_own_get_their_own_verdicts(spark):
+    bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first()
+    good = [text_of(prose(100 + i, 80), i) for i in range(12)]
+    rows = [(i, good[i]) for i in range(4)]
+    rows += [(None, t) for t in good[3:8]]  # the first is a copy of document 3
+    rows += [(None, good[4]), (None, "short"), (None, None), (None, good[8] + bench["text"])]
+    rows += [(50, good[9]), (50, good[10]), (50, "short"), (50, good[9]), (2, good[2])]
+    docs = documents(spark, rows).withColumnsRenamed({"id": "given_id", "key": "bad_id", "doc": "kept_id", "blob": "found_blob"})
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    left = []
+    for name in list(stages)[:-1]:
+        docs = stages[name](spark, docs, SF_DIR)
+        assert docs.columns == columns
+        left.append(sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=repr))
+    by_key = lambda rows: sorted(rows, key=repr)
+    after_rules = [r for r in rows if r[1] not in ("short", None)]
+    assert left[0] == by_key(after_rules)
+    once = [r for r in after_rules if r[0] is not None]
+    once += [(None, t) for t in good[4:8]] + [(None, good[4])]  # equal rows stay together
+    once += [(None, good[8] + bench["text"])]
+    assert left[1] == by_key(once)
+    assert left[2] == left[3] == by_key(r for r in once if r[1] != good[8] + bench["text"])
 
 
 def test_run(spark):
