@@ -351,15 +351,15 @@ CRAWL_BYTES = 8 << 20
 
 
 def _crawl_parts(rows: DataFrame) -> DataFrame:
-    """The rows with their part of the source: parts follow the bytes of the source, rows are dealt in turn.
+    """The rows with their part of the source: parts follow the bytes of the source, rows are dealt by a hash.
 
     Only sources of more than one part are listed, at most one for every CRAWL_BYTES of the input.
     """
     size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 256)
     parts = F.ceil(size / CRAWL_BYTES).cast("int")
     large = rows.groupBy("source").agg(parts.alias("parts")).filter("parts > 1")
-    large = F.broadcast(large.withColumnRenamed("source", "large"))
-    dealt = rows.withColumn("turn", F.monotonically_increasing_id())
+    large = large.withColumnRenamed("source", "large")
+    dealt = rows.withColumn("turn", F.xxhash64(F.monotonically_increasing_id()))
     dealt = dealt.join(large, F.col("source").eqNullSafe(F.col("large")), "left")
     part = F.pmod("turn", F.coalesce("parts", F.lit(1))).cast("int")
     return dealt.withColumn("part", part).drop("turn", "large", "parts")
