@@ -17,7 +17,7 @@ from pulse.functions.dates import iso_postdate, iso_z, parse_discovered_at, pars
 from pulse.functions.numbers import serve_round, share
 from pulse.functions.text import distinct_tokens, filter_tokens, split_tokens, tokens_stream
 from pulse.functions.urls import mobile_url, normalize_url, plain_title
-from pulse.operators import docs, forecast, ingest, pages, serve, windows
+from pulse.operators import docs, forecast, ingest, pages, segment, serve, windows
 from pulse.plans import collect, daily, trends
 from pulse.schema import (
     PREDICTION,
@@ -28,9 +28,13 @@ from pulse.schema import (
     DailyParams,
     StreamParams,
 )
+from pulse.sources.posts import land_posts as land
 from pulse.sources.posts import stored_posts
 from pulse.sources.readers import (
+    load_stopwords,
     read_crawl_result,
+    read_posts,
+    read_posts_stream,
     read_snapshot,
     read_snapshots,
     read_token_stats,
@@ -292,12 +296,12 @@ def token_documents(spark, sf_dir):
     return docs.distinct_token_docs(docs.tokenize(_docs(spark, sf_dir), words=fx.STOPWORDS))
 
 
-def _word_file(spark: SparkSession, sf_dir: str) -> str:
+def _word_file(spark: SparkSession, sf_dir: str, longest: int = 5) -> str:
     """A word list of thousands of lines: all words of documents up to five letters."""
     path = scratch(spark, "words")
     short = split_tokens(F.col("text"))
     words = fx.table(spark, sf_dir, "documents").select(F.explode(short).alias("value"))
-    words.filter(F.length("value").between(1, 5)).distinct().write.text(path)
+    words.filter(F.length("value").between(1, longest)).distinct().write.text(path)
     return path
 
 
@@ -310,6 +314,14 @@ def word_list(spark, sf_dir):
     return _short_words(spark, sf_dir)
 
 
+@query
+def stopwords_loaded(spark, sf_dir):
+    """A short list of a file and a comma list, as the window jobs load them."""
+    path = _word_file(spark, sf_dir, 2)
+    words = load_stopwords(spark, [f"{path}-missing", path], " Extra, words,")
+    return spark.createDataFrame([(w,) for w in words], "word string")
+
+
 @query
 def stats_without_words(spark, sf_dir):
     return docs.without_words(_stats(spark, sf_dir), _short_words(spark, sf_dir))
@@ -317,14 +329,17 @@ def stats_without_words(spark, sf_dir):
 
 @query
 def tokens_tagged(spark, sf_dir):
-    """The tokenizer with an analyzer: capitalized words are tagged as names, others as verbs."""
+    """The tokenizer with the analyzer learnt from the same documents."""
+    cleaned = _docs(spark, sf_dir)
+    model = segment.learn_pieces(segment.distinct_words(cleaned))
+    tagged = docs.tokenize(cleaned, "morph", segment.analyzer(model), fx.STOPWORDS)
+    return tagged.select("doc_id", _joined(F.col("tokens")).alias("words"))
 
-    def analyzer(text: Column) -> Column:
-        tag = lambda t: F.when(F.initcap(t) == t, "NNP").otherwise("VV")
-        return F.transform(split_tokens(text), lambda t: F.struct(t.alias("form"), tag(t).alias("tag")))
 
-    tagged = docs.tokenize(_docs(spark, sf_dir), "morph", analyzer, fx.STOPWORDS)
-    return tagged.select("doc_id", _joined(F.col("tokens")).alias("words"))
+@query
+def word_pieces(spark, sf_dir):
+    """The pieces of words and their costs."""
+    return segment.learn_pieces(segment.distinct_words(_docs(spark, sf_dir)))
 
 
 @query
@@ -870,6 +885,26 @@ def stream_landing(spark, sf_dir):
     return stored_posts(spark, f"{target}/posts")
 
 
+@query
+def stream_source(spark, sf_dir):
+    """Messages as JSON in files that take the place of the broker, read as a stream and decoded."""
+    target = scratch(spark, "source")
+    value = F.to_json(F.struct("url", "title", "content_text")).alias("value")
+    fx.messages(spark, sf_dir).select(value, "ts", "msg_id").write.parquet(f"{target}/in")
+    stream = ingest.decode_messages(read_posts_stream(spark, "parquet", {"path": f"{target}/in"}))
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{target}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{target}/out").awaitTermination()
+    return spark.read.parquet(f"{target}/out").select("msg_id", "ts", "url", "title", "content_text")
+
+
+@query
+def posts_read(spark, sf_dir):
+    """Posts landed by bucket and read as the daily job reads them."""
+    path = scratch(spark, "posts")
+    land(ingest.to_stored_post(fx.raw_posts(spark, sf_dir), "doc_id"), path, ["doc_id"])
+    return read_posts(spark, f"{path}/posts")
+
+
 @query
 def stream_word_list(spark, sf_dir):
     """Word counts of a stream that leaves out a list too long for its plan."""

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pulse.functions.numbers import change_label, rate, serve_round, share, traffic_text
 from pulse.functions.text import distinct_tokens, tokens_stream
 from pulse.schema import StreamParams
+from pulse.sources.store import materialize
 
 TEN_MINUTES = "10 minutes"
 
@@ -100,27 +101,43 @@ def _packed(order: Sequence[str], df: DataFrame) -> Column:
     return F.struct(*order)
 
 
-def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key; rows without a key value share one.
+#: Repeated keys are sent out to find their rows up to this many bytes.
+SENT_BYTES = 64 << 20
 
-    Keys and order are reduced alone, without the other columns. Only keys that come more than once
-    are joined back, to leave out all but their first row, so a row moves only if there are
-    too many such keys to send them out. Of rows equal in key and order one stays; where there are
-    none, which is known before the second branch starts, it is not run.
+
+def first_rows(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], sent_bytes: int = SENT_BYTES
+) -> DataFrame:
+    """The first row of each key; rows without a key value share one. Of rows equal in order one stays.
+
+    Keys and order are reduced alone, without the other columns, and this is run at once. Only keys
+    that come more than once are joined back, to leave out all but their first row. Their size is known
+    by then: up to ``sent_bytes`` they are sent out and no row moves, beyond that both sides are shuffled.
     """
     at = _packed(order, df)
     slim = df.select(*key, at.alias("_at"))
     names = [f"_key_{i}" for i in range(len(key))]
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(key, names, strict=True)])
     whole = slim.groupBy(*[F.col(c).alias(n) for c, n in zip(key, names, strict=True)])
-    repeated = whole.agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    firsts = slim.join(repeated, same & (F.col("_at") == F.col("_first")))
-    marks = firsts.groupBy(*names, "_first").agg((F.count(F.lit(1)) > 1).alias("_tied"))
+    repeated = whole.agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeated = materialize(repeated.filter("_rows > 1").select(*names, "_first"))
+    size = repeated.agg(F.sum(F.length(F.to_json(F.struct(*names))) + 64)).first()[0]
+    if size is None:
+        return df
+
+    def sent(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if size <= sent_bytes else rows
+
+    firsts = slim.join(sent(repeated), same & (F.col("_at") == F.col("_first")))
+    marks = materialize(firsts.groupBy(*names, "_first").agg((F.count(F.lit(1)) > 1).alias("_tied")))
     rows = df.withColumn("_own", at)
     first = F.col("_own") == F.col("_first")
-    kept = rows.join(marks, same, "left").filter(F.col("_first").isNull() | (first & ~F.col("_tied")))
-    tied = rows.join(marks.filter("_tied"), same).filter(first).dropDuplicates(list(key))
-    return kept.select(*df.columns).unionByName(tied.select(*df.columns))
+    kept = rows.join(sent(marks), same, "left").filter(F.col("_first").isNull() | (first & ~F.col("_tied")))
+    kept, tied = kept.select(*df.columns), marks.filter("_tied")
+    if tied.isEmpty():
+        return kept
+    once = rows.join(sent(tied), same).filter(first).dropDuplicates(list(key))
+    return kept.unionByName(once.select(*df.columns))
 
 
 def first_per_window(

@@ -91,12 +91,14 @@ def read_posts(
 ) -> DataFrame:
     """The stored posts, from files or with ``fmt="jdbc"`` and :func:`jdbc_options`.
 
-    A table read without a split would be one task and is refused.
+    The folders of a landed table are not a column of it. A table read without a split would be one
+    task and is refused.
     """
     if fmt == "jdbc" and "partitionColumn" not in (options or {}):
         raise ValueError("a table read needs jdbc_options with a partition column")
     reader = spark.read.format(fmt).options(**(options or {}))
-    return reader.load(path) if path is not None else reader.load()
+    rows = reader.load(path) if path is not None else reader.load()
+    return rows.drop("bucket")
 
 
 def spread(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:

@@ -228,3 +228,63 @@ def test_latest_plans_filter_times_before_tokenizing(spark):
     assert near.index("regexp_extract_all") < near.index(">=")  # the filter stands below
     assert trends.top_latest(df.limit(0), p).collect() == []
     assert trends.rising_latest(df.limit(0), p).collect() == []
+
+
+@pytest.mark.parametrize("urls", [40, 4])
+def test_texts_are_not_moved_to_find_first_arrivals(spark, urls):
+    """Neither without nor with urls that repeat in a window: the first exchange has counts only."""
+    rows = [(START + i * MIN, f"u{i % urls}", f"word w{i}") for i in range(200)]
+    counts = w.window_token_counts(frame(spark, rows))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(w" in plan
+    assert ("BroadcastHashJoin" in plan) == (urls == 4)
+    word = {r["cnt"] for r in counts.filter("token = 'word'").collect()}
+    assert word == {10 if urls == 40 else 4}
+
+
+def test_first_rows_by_shuffling(spark):
+    rows = [(START + i * MIN, f"u{i % 7}", f"w{i}") for i in range(50)] + [(START, None, "x")] * 3
+    df = frame(spark, rows)
+    got = w.first_rows(df, ["url"], ["ts", "msg_id"], sent_bytes=0).collect()
+    assert sorted(r["content_text"] for r in got) == ["w0", "w1", "w2", "w3", "w4", "w5", "w6", "x"]
+
+
+def test_of_equal_arrivals_one_stays(spark):
+    rows = [(START, "a", "one two"), (START, "a", "one two"), (START, "b", "one"), (START + MIN, "b", "late")]
+    messages = frame(spark, rows).withColumn("msg_id", F.lit(7).cast("long"))
+    assert {r["token"]: r["cnt"] for r in w.window_token_counts(messages).collect()} == {"one": 2, "two": 1}
+    by_struct = messages.withColumn("msg_id", F.struct(F.lit(0).alias("partition"), F.lit(5).alias("offset")))
+    assert {r["token"]: r["cnt"] for r in w.window_token_counts(by_struct).collect()} == {"one": 2, "two": 1}
+    assert w.first_per_window(by_struct, ["content_text"]).count() == 2
+
+
+def test_previous_counts_over_days_and_gaps(spark):
+
+    start, step = datetime(2024, 1, 1, 22, 30, tzinfo=UTC), timedelta(minutes=10)
+    ends = [start + step * k for k in (0, 1, 2, 8, 9, 10, 11, 160, 161, 500, 501, 502)]
+    cnt = {(e, t): 1 + (i * 7 + j) % 5 for i, e in enumerate(ends) for j, t in enumerate(("all", "some")) if j == 0 or i % 3}
+    counts = spark.createDataFrame([(e - step, e, t, n) for (e, t), n in cnt.items()], "window_start timestamp, window_end timestamp, token string, cnt long")
+    windows = spark.createDataFrame([(e - step, e, 9) for e in ends], "window_start timestamp, window_end timestamp, total_posts long")
+    before = dict(zip(ends, [None, *ends], strict=False))
+    found = w.with_prev_fired(counts, windows)
+    at = F.date_format("window_end", "yyyy-MM-dd HH:mm").alias("at")
+    got = {(r["at"], r["token"]): (r["cnt"], r["prev_count"]) for r in found.select(at, "token", "cnt", "prev_count").collect()}
+    assert got == {(f"{e:%Y-%m-%d %H:%M}", t): (n, cnt.get((before[e], t), 0)) for (e, t), n in cnt.items()}
+    everything = w.with_prev_fired_all(counts, windows).filter("prev_count > 0 or cnt > 0").select(at, "token", "cnt", "prev_count")
+    want = {(f"{e:%Y-%m-%d %H:%M}", t): (cnt.get((e, t), 0), cnt.get((before[e], t), 0)) for e in ends for t in ("all", "some")}
+    assert {(r["at"], r["token"]): (r["cnt"], r["prev_count"]) for r in everything.collect()} == {k: v for k, v in want.items() if v != (0, 0)}
+
+
+def test_no_group_holds_a_word_over_all_time(spark):
+    """A word of every window of a year: the rows of its day and the last window before."""
+    ends = spark.range(144 * 365).select(
+        F.timestamp_add("MINUTE", F.col("id") * 10, F.lit("2023-01-01").cast("timestamp")).alias("window_end"),
+        F.concat(F.lit("word"), (F.col("id") % 1).cast("string")).alias("token"),
+    )
+    counts = ends.select(F.expr("window_end - interval 10 minutes").alias("window_start"), "window_end", "token", F.lit(3).cast("long").alias("cnt"))
+    windows = counts.select("window_start", "window_end", F.lit(3).cast("long").alias("total_posts"))
+    found = w.with_prev_fired(counts, windows)
+    assert found.agg(F.sum("prev_count")).first()[0] == 3 * (144 * 365 - 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(block" in plan and "windowspecdefinition(token" not in plan
