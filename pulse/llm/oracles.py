@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pulse.llm.secret_scan import RULES
-
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_chat_format"] = r"""
@@ -100,10 +98,27 @@ def _secret_kind(rank: int, kind: str, pattern: str, group: int, least: int) ->
 """
 
 
+# Stated apart from the scanner's: kind, pattern, group, least length.
+_BREAK = r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*"
+_SECRETS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    ("access", r"AKIA[A-Z0-9]+", 0, 16),
+    ("hex", r"[0-9a-f]{32,}", 0, 32),
+    (
+        "private",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:[^-]*(?:-{1,4}[^-]+){0,64}-----END [A-Z ]*PRIVATE KEY-----"
+        rf"|(?:(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*){{1,4}}(?:{_BREAK})?)?"
+        rf"{_BREAK}[A-Za-z0-9+/=]{{16,}}(?:{_BREAK}[A-Za-z0-9+/=]+){{0,900}})?",
+        0,
+        1,
+    ),
+)
+
 ORACLES["op1_secret_scan"] = (
     "with texts as (select doc_id, coalesce(text, '') as text from documents), pieces as ("
     + " union all ".join(
-        _secret_kind(i, r.kind, r.pattern, r.group, r.least) for i, r in enumerate(RULES)
+        _secret_kind(i, *rule) for i, rule in enumerate(_SECRETS)
     )
     + """), placed as (
   select *, sum(step) over (partition by doc_id, rank order by n) as stop from pieces

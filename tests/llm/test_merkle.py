@@ -68,7 +68,13 @@ def same(got, want):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
-@pytest.mark.parametrize("n", [1, 2, 8, 9, 64, 65, 513, 4700])
+def test_sizes_around_runs_and_blocks(spark):
+    sizes = {"a": 1, "b": 2, "c": 8, "d": 9, "e": 64, "f": 65, "g": 512, "h": 513, "i": 4700}
+    rows = [(i * 7 % 10_007, "s", lang, i, f"Text {i} É") for lang, n in sizes.items() for i in range(n)]
+    same(merkle.verify(merkle.manifest(table(spark, rows))).collect(), expected(rows))
+
+
+@pytest.mark.parametrize("n", [1, 70])
 def test_one_language(spark, n):
     rows = [(i * 7 % 10_007, "s", "en", i, f"Text {i} É") for i in range(n)]
     same(merkle.verify(merkle.manifest(table(spark, rows))).collect(), expected(rows))

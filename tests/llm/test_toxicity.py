@@ -126,3 +126,84 @@ def test_counts_meet_per_event_and_blocks_follow_them(spark):
     texts = [text for i, text in rows * 3 if zlib.crc32(str(i).encode()) % 3 != 1]
     assert sum(r[f"n{g}"] for r in got for g in range(t.GROUPS)) == sum(len(x.encode()) + 1 for x in texts)
     assert t._blocks(1000, 4) == 16 and t._blocks(1000 * t.BLOCK_EVENTS, 4) == 1000
+
+
+def plain_model(texts):
+    """Ratios of events and contexts out of (toxic, text), number by number: a function of an event."""
+    from collections import Counter, defaultdict
+
+    counts = {0: Counter(), 1: Counter()}
+    for toxic, text in texts:
+        counts[toxic].update(plain_events(text))
+    whole = {y: sum(c.values()) for y, c in counts.items()}
+    share = {y: min(whole.values()) / n for y, n in whole.items()}
+    every = set(counts[0]) | set(counts[1])
+    follows = Counter(e[1:] for e in every)  # contexts a shorter event was seen in
+    longer, kinds = Counter(), Counter()
+    for s, n in follows.items():
+        longer[s[:-1]] += n
+        kinds[s[:-1]] += 1
+    within = defaultdict(list)
+    for e in every:
+        within[e[:-1]].append(e)
+
+    def taken(n, s):
+        return 2 - 2 * (1 - s) ** n - (n * s * (1 - s) ** (n - 1) if n else 0)
+
+    def ratio(event):
+        found = []
+        own = within.get(event[:-1])
+        if own is None:
+            return 0.0
+        for y in (1, 0):
+            total = sum(counts[y][e] for e in own) * share[y]
+            rest = sum(taken(counts[y][e], share[y]) for e in own)
+            if event not in every:
+                found.append(rest / total if total else 1)
+                continue
+            s = event[1:]
+            shared = (max(follows[s] - 0.75, 0) + 0.75 * kinds[s[:-1]] / 64) / longer[s[:-1]]
+            n = counts[y][event]
+            found.append((max(n * share[y] - taken(n, share[y]), 0) + rest * shared) / total if total else shared)
+        return float(np.log(found[0] / found[1]))
+
+    return ratio
+
+
+def plain_events(text):
+    symbols = [27] * 4 + [int(t.SYMBOL[b]) for b in (text or "").encode()] + [27]
+    return [tuple(symbols[i - 4 : i + 1]) for i in range(4, len(symbols))]
+
+
+def test_features_against_plain_python(spark):
+    rows, labels = corpus(150)
+    odd = [(10_000 + i, x) for i, x in ODD] + [(11_000, "zgrubo ogzgrub zgrubling quite unseen Xylophone 42")]
+    docs, table = documents(spark, rows + odd), spark.createDataFrame(labels, LABELS)
+    toxic = {i: y for i, _, y, *_ in labels}
+    learnt = [(toxic[i], x) for i, x in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    ratio = plain_model(learnt)
+    got = {r["doc_id"]: r for r in t.rate(docs, t.learn(t.training_rows(docs, table))).collect()}
+    checked = [rows[i] for i in range(0, 150, 4)] + odd
+    assert len(checked) > 45
+    for i, text in checked:
+        events = plain_events(text)
+        values = [ratio(e) for e in events]
+        words, at = [], 0
+        for k, e in enumerate(events):
+            if e[-1] == 27:
+                words.append(sum(values[at : k + 1]))
+                at = k + 1
+        best = sorted(words, reverse=True)[:3]
+        want = [sum(values) / len(values), *best, *[0.0] * (3 - len(best))]
+        assert np.allclose([got[i][f"f{k}"] for k in range(4)], want, atol=2e-4), i
+
+
+def test_scores_follow_from_the_features(spark):
+    rows, labels = corpus(300)
+    docs, table = documents(spark, rows), spark.createDataFrame(labels, LABELS)
+    rated = t.rate(docs, t.learn(t.training_rows(docs, table)))
+    intercept, weights = t.calibrate(rated, table)
+    features = {r["doc_id"]: [r[f"f{k}"] for k in range(4)] for r in rated.collect()}
+    for r in t.score_documents(docs, table).collect():
+        z = intercept + sum(w * x for w, x in zip(weights, features[r["doc_id"]], strict=True))
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-4

@@ -59,8 +59,9 @@ def random_words(seed, n, letters, longest):
     return {w: rng.choice([5, 5, 6, 30, 31, 160, 900, 30_000]) for w in words}
 
 
-@pytest.mark.parametrize("limit", [1, 5, 60, 4096])
-@pytest.mark.parametrize("letters, longest", [("ab", 9), ("abcé", 7), ("thenraÿ", 8)])
+@pytest.mark.parametrize("limit, letters, longest", [
+    (1, "abcé", 7), (5, "ab", 9), (60, "thenraÿ", 8), (4096, "abcé", 7), (4096, "ab", 9),
+])
 def test_any_size_of_partition(spark, limit, letters, longest):
     words = random_words(len(letters), 700, letters, longest)
     df = spark.createDataFrame(list(words.items()), "word string, n long")
