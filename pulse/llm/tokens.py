@@ -13,7 +13,7 @@ from itertools import repeat
 
 import numpy as np
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 CACHED_CHARS = 40
 GROUP = 64
 SLICE_CHARS = 1 << 21
