@@ -13,16 +13,17 @@ from itertools import repeat
 
 import numpy as np
 
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 CACHED_CHARS = 40
 GROUP = 64
 SLICE_CHARS = 1 << 21
 
 
 class ChunkEncoder:
-    """Encodes texts; keeps the ids of up to CACHED_WORDS chunks, others only for one call."""
+    """Encodes texts; keeps the ids of up to ``cached`` chunks, others only for one call."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -73,7 +74,7 @@ class ChunkEncoder:
         if (missing := np.flatnonzero(at < 0)).size:
             new = {words[i] for i in missing.tolist()}
             short = [w for w in new if len(w) <= CACHED_CHARS]
-            room = max(0, CACHED_WORDS - self.n)
+            room = max(0, self.cached - self.n)
             self._add(short[:room])
             kept = self.n, self.used
             passing = short[room:] + [w for w in new if len(w) > CACHED_CHARS]
@@ -91,14 +92,14 @@ class ChunkEncoder:
         return ids, offsets
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder per worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, cached: int = CACHED_WORDS) -> ChunkEncoder:
+    """One encoder per worker process, vocabulary file and number of words kept."""
+    if (path, cached) not in _ENCODERS:
+        _ENCODERS[path, cached] = ChunkEncoder(path, cached)
+    return _ENCODERS[path, cached]
 
 
 def slices(texts: list[str]):
