@@ -22,8 +22,8 @@ SLICE_CHARS = 1 << 21
 class ChunkEncoder:
     """Encodes texts; keeps the ids of up to ``cached`` chunks, others only for one call."""
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
-        self.cached = cached
+    def __init__(self, path: str, cached: int | None = None):
+        self.cached = CACHED_WORDS if cached is None else cached
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -92,10 +92,10 @@ class ChunkEncoder:
         return ids, offsets
 
 
-_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int | None], ChunkEncoder] = {}
 
 
-def encoder(path: str, cached: int = CACHED_WORDS) -> ChunkEncoder:
+def encoder(path: str, cached: int | None = None) -> ChunkEncoder:
     """One encoder per worker process, vocabulary file and number of words kept."""
     if (path, cached) not in _ENCODERS:
         _ENCODERS[path, cached] = ChunkEncoder(path, cached)
