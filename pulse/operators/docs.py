@@ -17,6 +17,7 @@ from pulse.functions.text import (
     tokens_batch,
 )
 from pulse.schema import CLEANED_DOC
+from pulse.sources.store import materialize
 
 # Tags of the forms an analyzer's tokens are taken from.
 NOUN_TAGS = ("NNG", "NNP", "NNB", "NR", "NP", "SL")
@@ -141,11 +142,40 @@ def daily_token_stats(tokenized: DataFrame) -> DataFrame:
     )
 
 
-def distinct_token_docs(tokenized: DataFrame) -> DataFrame:
-    """Each (day, word, document) once, also when a document id comes in several rows."""
-    return tokenized.select(
-        "doc_date", F.explode(distinct_tokens(F.col("tokens"))).alias("token"), "doc_id"
-    ).dropDuplicates(["doc_date", "token", "doc_id"])
+#: Repeated ids are sent out to find their rows up to this many; for more both sides are shuffled.
+MOST_SENT = 1 << 20
+
+
+def _by_id(tokenized: DataFrame, sent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose day and id come once, and all rows of those that come repeatedly, None without any.
+
+    Days and ids alone are counted, as hashes, and this is run at once. A row that only shares the hash of
+    another counts as repeated, which costs time but changes no result.
+    """
+    marked = tokenized.withColumn("_key", F.xxhash64("doc_date", "doc_id"))
+    counted = marked.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(counted.filter("n > 1").select("_key"))
+    n = repeated.count()
+    if n == 0:
+        return tokenized, None
+    listed = F.broadcast(repeated) if n <= sent else repeated
+    once, again = (marked.join(listed, "_key", how).select(*tokenized.columns) for how in ("left_anti", "left_semi"))
+    return once, again
+
+
+def distinct_token_docs(tokenized: DataFrame, sent: int = MOST_SENT) -> DataFrame:
+    """Each (day, word, document) once, also when a document id comes in several rows.
+
+    Words of a row are told apart where it is; only those of repeated ids are shuffled.
+    """
+    once, again = _by_id(tokenized, sent)
+
+    def words(rows: DataFrame) -> DataFrame:
+        return rows.select("doc_date", F.explode(distinct_tokens(F.col("tokens"))).alias("token"), "doc_id")
+
+    if again is None:
+        return words(once)
+    return words(once).unionByName(words(again).dropDuplicates(["doc_date", "token", "doc_id"]))
 
 
 def token_stats_joined(tokenized: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import UTC, date, datetime
 
 import pandas as pd
@@ -64,6 +66,31 @@ def test_repeated_document_ids_count_once(spark):
     assert d.distinct_token_docs(df).count() == 2
 
 
+def shuffled(df):
+    """Columns of the exchanges of a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.mark.parametrize("sent", [d.MOST_SENT, 0])
+def test_only_repeated_ids_are_counted_by_document(spark, sent):
+    rng = random.Random(5)
+    ids = [*map(str, range(40)), *map(str, range(8)), None, None]
+    days = [RUN, date(2024, 1, 6), None]
+    rows = [(rng.choice(days), i, rng.choices("abcdefg", k=rng.randrange(9))) for i in ids] + [(RUN, "x", None)]
+    found = set()
+    for day, i, words in rows:
+        found |= {(day, w, i) for w in words or []}
+    df = tokenized(spark, *rows)
+    got = [tuple(r) for r in d.distinct_token_docs(df, sent).select("doc_date", "token", "doc_id").collect()]
+    assert Counter(got) == Counter(found)
+
+
+def test_words_of_single_ids_are_not_shuffled_with_their_documents(spark):
+    df = tokenized(spark, (RUN, "1", ["a", "b", "a"]), (RUN, "2", ["a"]))
+    assert not shuffled(d.distinct_token_docs(df))
+
+
 def test_analyzer_hook_keeps_allowed_tags(spark):
     @F.pandas_udf("array<struct<form:string,tag:string>>")
     def analyze(texts: pd.Series) -> pd.Series:
