@@ -121,13 +121,8 @@ def without_words(counts: DataFrame, words: DataFrame, column: str = "token") ->
     return counts.join(words.select(F.col("word").alias(column)), column, "left_anti")
 
 
-def daily_token_stats(tokenized: DataFrame) -> DataFrame:
-    """Mentions and documents per day and word.
-
-    One document is one row (``doc_id`` is the key of the documents). Every word is sent out
-    once per mention and once per document, so a single grouping with map-side combine gives
-    both numbers: nothing keyed by document is shuffled, and there is no join.
-    """
+def _uses(tokenized: DataFrame) -> DataFrame:
+    """Every word once per mention and once per row: doc_date, token, and 1 under ``m`` or ``d``."""
     mentions = F.transform(
         "tokens", lambda t: F.struct(t.alias("token"), F.lit(1).alias("m"), F.lit(0).alias("d"))
     )
@@ -135,13 +130,26 @@ def daily_token_stats(tokenized: DataFrame) -> DataFrame:
         distinct_tokens(F.col("tokens")),
         lambda t: F.struct(t.alias("token"), F.lit(0).alias("m"), F.lit(1).alias("d")),
     )
-    return (
-        tokenized.select("doc_date", F.explode(F.concat(mentions, documents)).alias("o"))
-        .groupBy(F.col("doc_date").alias("stat_date"), F.col("o.token").alias("token"))
-        .agg(F.sum("o.m").alias("mention_count"), F.sum("o.d").alias("doc_count"))
+    uses = tokenized.select("doc_date", F.explode(F.concat(mentions, documents)).alias("o"))
+    return uses.select("doc_date", "o.token", "o.m", "o.d")
+
+
+def _summed(uses: DataFrame) -> DataFrame:
+    return uses.groupBy(F.col("doc_date").alias("stat_date"), "token").agg(
+        F.sum("m").alias("mention_count"), F.sum("d").alias("doc_count")
     )
 
 
+def daily_token_stats(tokenized: DataFrame) -> DataFrame:
+    """Mentions and documents per day and word.
+
+    One document is one row (``doc_id`` is the key of the documents). Every word is sent out
+    once per mention and once per document, so a single grouping with map-side combine gives
+    both numbers: nothing keyed by document is shuffled, and there is no join.
+    """
+    return _summed(_uses(tokenized))
+
+
 #: Repeated ids are sent out to find their rows up to this many; for more both sides are shuffled.
 MOST_SENT = 1 << 20
 
@@ -178,18 +186,19 @@ def distinct_token_docs(tokenized: DataFrame, sent: int = MOST_SENT) -> DataFram
     return words(once).unionByName(words(again).dropDuplicates(["doc_date", "token", "doc_id"]))
 
 
-def token_stats_joined(tokenized: DataFrame) -> DataFrame:
+def token_stats_joined(tokenized: DataFrame, sent: int = MOST_SENT) -> DataFrame:
     """Mention counts next to document counts, for documents whose ids may come repeatedly.
 
-    Counting per document first gives both numbers from one set of words, so the two tables
-    need not be built apart and joined. It moves every (day, word, document) once, which
-    :func:`daily_token_stats` does not.
+    Rows of ids that come once are counted as in :func:`daily_token_stats`. The words of repeated ids are
+    counted per document first, which moves every (day, word, document) of these once; both parts meet in
+    one grouping.
     """
+    once, again = _by_id(tokenized, sent)
+    if again is None:
+        return daily_token_stats(once)
     per_doc = (
-        tokenized.select("doc_date", "doc_id", F.explode("tokens").alias("token"))
+        again.select("doc_date", "doc_id", F.explode("tokens").alias("token"))
         .groupBy("doc_date", "token", "doc_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return per_doc.groupBy(F.col("doc_date").alias("stat_date"), "token").agg(
-        F.sum("n").alias("mention_count"), F.count(F.lit(1)).alias("doc_count")
+        .agg(F.count(F.lit(1)).alias("m"))
     )
+    return _summed(_uses(once).unionByName(per_doc.select("doc_date", "token", "m", F.lit(1).alias("d"))))

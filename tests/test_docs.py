@@ -78,17 +78,22 @@ def test_only_repeated_ids_are_counted_by_document(spark, sent):
     ids = [*map(str, range(40)), *map(str, range(8)), None, None]
     days = [RUN, date(2024, 1, 6), None]
     rows = [(rng.choice(days), i, rng.choices("abcdefg", k=rng.randrange(9))) for i in ids] + [(RUN, "x", None)]
-    found = set()
+    mentions, found = Counter(), set()
     for day, i, words in rows:
+        mentions.update((day, w) for w in words or [])
         found |= {(day, w, i) for w in words or []}
+    documents = Counter((day, w) for day, w, _ in found)
     df = tokenized(spark, *rows)
     got = [tuple(r) for r in d.distinct_token_docs(df, sent).select("doc_date", "token", "doc_id").collect()]
     assert Counter(got) == Counter(found)
+    stats = {(r["stat_date"], r["token"]): (r["mention_count"], r["doc_count"]) for r in d.token_stats_joined(df, sent).collect()}
+    assert stats == {k: (n, documents[k]) for k, n in mentions.items()}
 
 
 def test_words_of_single_ids_are_not_shuffled_with_their_documents(spark):
     df = tokenized(spark, (RUN, "1", ["a", "b", "a"]), (RUN, "2", ["a"]))
     assert not shuffled(d.distinct_token_docs(df))
+    assert all("doc_id" not in line for line in shuffled(d.token_stats_joined(df)))
 
 
 def test_analyzer_hook_keeps_allowed_tags(spark):
