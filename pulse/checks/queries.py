@@ -355,7 +355,7 @@ def stats_replaced(spark, sf_dir):
 @query
 def predictions_stored(spark, sf_dir):
     """Predictions written twice and read back."""
-    path, best = scratch(spark, "predictions"), _predictions(spark, sf_dir)
+    path, best = scratch(spark, "predictions"), materialize(_predictions(spark, sf_dir))
     for _ in range(2):
         write_predictions(best, path, fx.NEXT_DATE)
     return read_or_empty(spark, path, PREDICTION).select(*PREDICTION.names)

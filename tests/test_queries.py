@@ -31,6 +31,20 @@ def test_query(spark, con, name):
     assert rows > 0
 
 
+def test_stored_predictions_are_computed_once(spark, monkeypatch):
+    from pulse.checks import queries
+
+    plans, write = [], queries.write_predictions
+
+    def seen(best, *more):
+        plans.append(best._jdf.queryExecution().executedPlan().toString())
+        return write(best, *more)
+
+    monkeypatch.setattr(queries, "write_predictions", seen)
+    assert queries.QUERIES["predictions_stored"](spark, SF_DIR).count() > 0
+    assert len(plans) == 2 and not any("Generate" in p for p in plans)
+
+
 def test_crawl_objects_are_bounded(spark, monkeypatch):
     from pulse.checks import queries
 
