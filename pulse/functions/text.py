@@ -117,8 +117,12 @@ def has_words(title: Column, body: Column) -> Column:
 
 
 def split_tokens(text: Column) -> Column:
-    """Split on runs of whitespace; blank text gives no tokens."""
-    return F.filter(F.split(text, rf"[{WHITESPACE}]+"), lambda t: t != "")
+    """Split on runs of whitespace; blank text gives no tokens.
+
+    Every kind of whitespace is made a blank first: a split at blanks takes no regex pass.
+    """
+    blanked = F.translate(text, STRIP_CHARS, " " * len(STRIP_CHARS))
+    return F.filter(F.split(blanked, " "), lambda t: t != "")
 
 
 def filter_tokens(

@@ -5,7 +5,8 @@ hold a piece gives its cost, and a word is cut where the costs of its pieces sum
 dictionary is needed, so the analyzer serves any script that is written with blanks.
 
 Pieces are counted in Spark over distinct words; the model is the ``MOST_PIECES`` that explain most, a
-bounded table sent to all tasks. Words are cut in tasks, each distinct word of a batch once.
+bounded table sent to all tasks. Words are cut in tasks, each distinct word once as long as
+it is kept; the pieces of a batch are put together as Arrow columns.
 
 The first piece of a word is its stem, tagged as a noun; a later piece of up to ``ENDING`` characters is an
 ending, a longer one the other part of a compound. Numbers are tagged as numbers. Words of more than
@@ -14,14 +15,14 @@ ending, a longer one the other part of a compound. Numbers are tagged as numbers
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.functions.text import split_tokens
+from pulse.functions.text import distinct_tokens, split_tokens
 
 PIECE = 8
 FEWEST_WORDS = 3
@@ -30,6 +31,10 @@ LONGEST = 40
 ENDING = 3
 #: Cost of a character that is no piece, above that of any piece.
 UNKNOWN = 20_000
+#: More than any number of pieces of a word.
+RANK = 1 << 32
+#: Words a task keeps the pieces of, before a batch adds its own.
+MOST_KNOWN = 1 << 18
 # Tags of nouns, endings, numbers and symbols.
 NOUN, SUFFIX, NUMBER, SYMBOL = "NNG", "XSN", "SN", "SW"
 
@@ -38,7 +43,8 @@ MORPHS = "array<struct<form:string,tag:string>>"
 
 def distinct_words(docs: DataFrame, text: str = "cleaned_text") -> DataFrame:
     """The distinct words of all texts in small letters, without numbers: word."""
-    words = docs.select(F.explode(split_tokens(F.lower(F.col(text)))).alias("word"))
+    own = distinct_tokens(split_tokens(F.lower(F.col(text))))
+    words = docs.select(F.explode(own).alias("word"))
     return words.filter(~F.col("word").rlike(r"^[0-9]+$") & (F.length("word") <= LONGEST)).distinct()
 
 
@@ -59,22 +65,23 @@ class Lattice:
     """Cuts words at the least cost, then with the fewest pieces, then with the longest last piece."""
 
     def __init__(self, costs: Mapping[str, int]):
-        self.costs = costs
+        # cost and number of pieces in one whole number, ordered as the two are
+        self.ranks = {piece: cost * RANK + 1 for piece, cost in costs.items()}
 
     def pieces(self, word: str) -> list[str]:
-        best: list[tuple[float, int, int]] = [(0, 0, 0)]  # cost, pieces, start of the last piece
+        rank_of, unknown = self.ranks.get, UNKNOWN * RANK + 1
+        best, starts = [0], [0]  # rank of the best cut up to a place, start of its last piece
         for end in range(1, len(word) + 1):
-            least = (math.inf, 0, 0)
-            for start in range(max(0, end - PIECE), end):
-                piece = word[start:end]
-                cost = self.costs.get(piece, UNKNOWN if len(piece) == 1 else None)
-                if cost is not None:
-                    before = best[start]
-                    least = min(least, (before[0] + cost, before[1] + 1, start))
+            least, at = best[end - 1] + rank_of(word[end - 1], unknown), end - 1
+            for start in range(end - 2, max(-1, end - PIECE - 1), -1):
+                rank = rank_of(word[start:end])
+                if rank is not None and (rank := rank + best[start]) <= least:
+                    least, at = rank, start
             best.append(least)
+            starts.append(at)
         out, end = [], len(word)
         while end:
-            start = best[end][2]
+            start = starts[end]
             out.append(word[start:end])
             end = start
         return out[::-1]
@@ -88,25 +95,52 @@ class Lattice:
         return [(p, NOUN if i == 0 or len(p) > ENDING else SUFFIX) for i, p in enumerate(cut)]
 
 
+class Known(dict):
+    """Word to its number among the words seen; a new word is cut and its pieces are kept behind the others."""
+
+    def __init__(self, lattice: Lattice):
+        self.lattice = lattice
+        self.forms: list[str] = []
+        self.tags: list[str] = []
+        self.starts = [0]
+
+    def __missing__(self, word: str) -> int:
+        for form, tag in self.lattice.morphs(word):
+            self.forms.append(form)
+            self.tags.append(tag)
+        self.starts.append(len(self.forms))
+        number = self[word] = len(self)
+        return number
+
+    def of(self, texts: pa.Array) -> pa.Array:
+        """The pieces of texts, an array for each."""
+        numbers, counts = [], []
+        for text in texts.to_pylist():
+            words = (text or "").lower().split()
+            numbers += map(self.__getitem__, words)
+            counts.append(len(words))
+        at, starts = np.array(numbers, np.int64), np.array(self.starts, np.int64)
+        size = starts[at + 1] - starts[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(starts[at] - ends[:-1], size) + np.arange(ends[-1])
+        fields = [pa.array(column, pa.string()).take(pa.array(place)) for column in (self.forms, self.tags)]
+        bounds = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(fields, ["form", "tag"]))
+
+
 def analyzer(model: DataFrame) -> Callable[[Column], Column]:
     """Text to an array of ``form, tag``, for :func:`pulse.operators.docs.tokenize` in mode ``morph``."""
     table = model.toArrow()  # MOST_PIECES rows at most
     costs = dict(zip(table.column("piece").to_pylist(), table.column("cost").to_pylist(), strict=True))
     sent = model.sparkSession.sparkContext.broadcast(costs)
 
-    @F.pandas_udf(MORPHS)
-    def analyze(texts: pd.Series) -> pd.Series:
-        lattice, known = Lattice(sent.value), {}
-
-        def of(text: str | None) -> list[dict[str, str]]:
-            out = []
-            for word in (text or "").lower().split():
-                found = known.get(word)
-                if found is None:
-                    found = known[word] = [{"form": f, "tag": t} for f, t in lattice.morphs(word)]
-                out += found
-            return out
-
-        return texts.map(of)
+    @F.arrow_udf(MORPHS)
+    def analyze(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lattice = Lattice(sent.value)
+        known = Known(lattice)
+        for texts in batches:
+            if len(known) > MOST_KNOWN:
+                known = Known(lattice)
+            yield known.of(texts)
 
     return analyze

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pulse.operators import docs
@@ -72,3 +73,23 @@ def test_stems_stay_and_endings_go(spark):
     assert got[2] == got[3] == [] and [m["tag"] for m in got[4]] == ["SW"]
     tokens = docs.tokenize(texts, "morph", analyze).filter("i = 1").first()["tokens"]
     assert tokens == ["학교", "walk", "시장"]
+
+
+def test_kept_words_do_not_change_the_pieces(spark, monkeypatch):
+    own = words(4)
+    model = s.learn_pieces(s.distinct_words(spark.createDataFrame([(" ".join(own),)], "cleaned_text string")))
+    lattice = s.Lattice({r["piece"]: r["cost"] for r in model.collect()})
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([*own, "12", "É" * 41], k=rng.randrange(12))) for _ in range(60)] + ["", None]
+    want = [[m for w in (t or "").lower().split() for m in lattice.morphs(w)] for t in texts]
+    known = s.Known(lattice)
+    for part in (texts[:20], texts[20:], []):  # later batches meet kept words
+        got = known.of(pa.array(part, pa.string())).to_pylist()
+        assert [[(m["form"], m["tag"]) for m in ms] for ms in got] == want[texts.index(part[0]) :][: len(part)] if part else got == []
+    assert len(known) == len(known.starts) - 1 <= len(own) + 2
+
+
+def test_distinct_words_take_no_regex_split(spark):
+    df = spark.createDataFrame([("a b a",)], "cleaned_text string")
+    plan = s.distinct_words(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in plan and "p{Z}" not in plan

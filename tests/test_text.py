@@ -116,3 +116,16 @@ def test_stopwords_of_either_side_do_not_change_order(column):
 def test_strip_covers_all_whitespace(column):
     chars = [chr(c) for c in range(0x3100) if chr(c).isspace()]
     assert column(["".join(chars) + "a b" + "".join(chars)], t.strip(X)) == ["a b"]
+
+
+def test_every_kind_of_whitespace_splits(column):
+    every = [chr(c) for c in range(1, 0x3100) if chr(c) != "x"]
+    got = column([f"x{c}x" for c in every], F.size(t.split_tokens(X)), "string")
+    white = re.compile(r"[\s\x1c-\x1f\x85\xa0  -     　]")
+    assert [n == 2 for n in got] == [bool(white.fullmatch(c)) for c in every]
+    assert column(["", " 　", None], t.split_tokens(X)) == [[], [], None]
+
+
+def test_texts_are_split_without_a_regex_pass(spark):
+    plan = spark.createDataFrame([("a b",)], "x string").select(t.split_tokens(X))
+    assert "p{Z}" not in plan._jdf.queryExecution().optimizedPlan().toString()
