@@ -74,8 +74,9 @@ def distinct_tokens(tokens: Column) -> Column:
 
 
 def without_links(text: Column) -> Column:
-    """Blank out links, then e-mail addresses where there is an @ at all."""
-    no_url = F.regexp_replace(text, URL, " ")
+    """Blank out links where there is "://" or "www." at all, then e-mail addresses where there is an @."""
+    linked = text.contains("://") | F.lower(text).contains("www.")
+    no_url = F.when(linked, F.regexp_replace(text, URL, " ")).otherwise(text)
     return F.when(text.contains("@"), F.regexp_replace(no_url, EMAIL, " ")).otherwise(no_url)
 
 
@@ -93,7 +94,7 @@ def tokens_stream(
     valid length and is neither a number nor only laughing; order and repeats stay. With a cap
     only the first words count, a setting for jobs that want it.
     """
-    inside = r"[\p{L}\p{N}_]"
+    inside = r"[a-z\p{L}\p{N}_]"  # a to z are letters too, but the range is tried first and is fast
     pattern = (
         rf"(?<!{inside})"
         rf"(?!\p{{Nd}}+(?!{inside}))"

@@ -175,15 +175,14 @@ def token_rows(posts: DataFrame) -> DataFrame:
     undecodable messages only.
     """
     no_words = F.array().cast("array<string>")
-    rows = posts.select(
-        "w",
+    rows = _bounds(
+        posts,
         F.col("url").isNotNull().cast("long").alias("one"),
         F.explode(
             F.concat(F.array(F.lit("")), F.coalesce(F.col("tokens"), no_words))
         ).alias("token"),
     )
-    counted = rows.groupBy("w", "token").agg(F.sum("one").alias("cnt"))
-    return _bounds(counted, "token", "cnt")
+    return rows.groupBy("window_start", "window_end", "token").agg(F.sum("one").alias("cnt"))
 
 
 def without_listed(rows: DataFrame, words: DataFrame | None) -> DataFrame:
@@ -274,6 +273,48 @@ def cumulative_counts(counts: DataFrame) -> DataFrame:
     )
 
 
+def top_contenders(
+    counts: DataFrame, changed: DataFrame, fired: DataFrame, n: int = 20, sent_bytes: int = SENT_BYTES
+) -> DataFrame:
+    """The counts of all words that can be among the first n by running count in a window of their day.
+
+    For :func:`top_tokens` over stored counts, which are read four times here but not shuffled. ``fired`` lists
+    every window that has counts, ``changed`` those that are shown. The words with the largest counts in the
+    fullest window of a day, five times n in case some are rare elsewhere, give a floor under the n-th running
+    count of each of its windows. A word that reaches the floor of the k-th window has a k-th of it in one
+    window up to there, so words without such a count are left out with all their rows. Where the words that
+    stay take more than ``sent_bytes`` nothing is.
+    """
+    day = F.to_date("window_end").alias("day")
+    fullest = changed.groupBy(day).agg(F.max(F.struct("total_posts", "window_end"))["window_end"].alias("at"))
+    ends = [r["at"] for r in fullest.select(F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at")).collect()]
+    if not ends:
+        return counts
+    # one window a day, named in the filter so that it reaches the scan
+    full = counts.filter(F.col("window_end").isin([F.lit(e).cast("timestamp") for e in ends]))
+    frequent = materialize(top_n(full, 5 * n, count_order()).select(day, "token").distinct())  # 5 n rows a day
+    some = F.broadcast(frequent.select("token").distinct())
+    found = counts.join(some, "token", "left_semi").groupBy("window_end", "token").agg(F.sum("cnt").alias("cnt"))
+    by_day = Window.partitionBy("day").orderBy("window_end")
+    places = fired.select("window_end", day).distinct().withColumn("k", F.row_number().over(by_day))
+    so_far = Window.partitionBy("day", "token").orderBy("window_end")
+    running = places.join(frequent, "day").join(found, ["window_end", "token"], "left").withColumn(
+        "cum", F.sum(F.coalesce("cnt", F.lit(0))).over(so_far)
+    )
+    nth = F.get(F.sort_array(F.collect_list("cum"), asc=False), F.lit(n - 1))  # of 5 n at most; fewer than n are no floor
+    least = F.coalesce(nth / F.col("k"), F.lit(0.0))
+    floors = running.groupBy("day", "window_end", "k").agg(least.alias("least")).withColumn(
+        "floor", F.min("least").over(by_day.rowsBetween(0, Window.unboundedFollowing))
+    )
+    floors = F.broadcast(materialize(floors.select("window_end", "floor")))  # 144 rows a day
+    able = counts.join(floors, "window_end", "left").filter(F.col("floor").isNull() | (F.col("cnt") >= F.col("floor")))
+    words = materialize(able.select("token").distinct())
+    size = words.agg(F.sum(F.octet_length("token") + 64)).first()[0]
+    if size is None or size > sent_bytes:
+        return counts
+    return counts.join(F.broadcast(words), "token", "left_semi").select(*counts.columns)
+
+
 def top_tokens(
     counts: DataFrame, windows: DataFrame, n: int = 20, duration: str = TEN_MINUTES
 ) -> DataFrame:

@@ -32,15 +32,20 @@ def next_seq(spark: SparkSession, path: str) -> int:
 
 
 def append(
-    rows: DataFrame, path: str, seq: int | None = None, observe: tuple[Observation, Column] | None = None
+    rows: DataFrame,
+    path: str,
+    seq: int | None = None,
+    observe: tuple[Observation, Column] | None = None,
+    by: Sequence[str] = ("window_day",),
 ) -> int:
     """Write rows with a ``window_end``; returns the number of the write.
 
-    What is observed is observed right before the write, where an empty input is still seen.
+    What is observed is observed right before the write, where an empty input is still seen. Where the rows are
+    many, those alike in ``by`` share a file.
     """
     seq = next_seq(rows.sparkSession, path) if seq is None else seq
     keyed = rows.withColumns({"window_day": F.to_date("window_end"), "seq": F.lit(seq).cast("long")})
-    keyed = keyed.hint("rebalance", "window_day")
+    keyed = keyed.hint("rebalance", *by)
     keyed = keyed if observe is None else keyed.observe(*observe)
     keyed.write.mode("append").partitionBy("window_day", "seq").parquet(path)
     return seq

@@ -36,6 +36,7 @@ from pulse.operators.windows import (
     rising_snapshot,
     rising_tokens,
     token_rows,
+    top_contenders,
     top_snapshot,
     top_tokens,
     top_tokens_latest,
@@ -73,6 +74,8 @@ ARRIVED_ROWS = T.StructType(
 )
 TEN_MINUTES = timedelta(minutes=10)
 DAY = timedelta(days=1)
+#: Posts and counts of a window are stored together, so that a task that reads them has few words to pass on.
+BY_WINDOW = ("window_day", "window_end")
 #: Running totals are kept up to a window once so many windows have fired since the last kept one.
 KEPT_EVERY = 6
 
@@ -131,7 +134,10 @@ def _fired(spark: SparkSession, target: str, days: Collection[date]) -> dict[dat
 def _counts_at(spark: SparkSession, target: str, fired: Mapping[datetime, int], times: Collection[datetime]) -> DataFrame:
     """Word counts of some windows; only the writes they came with are opened."""
     written = log.read(spark, f"{target}/counts", COUNT_ROWS, {t.date() for t in times})
-    written = _at_times(written.filter(F.col("seq").isin(sorted({fired[t] for t in times}))), times)
+    if not times:
+        return written.limit(0).select(*COUNT_ROWS.names)
+    written = written.filter(F.col("seq").isin(sorted({fired[t] for t in times})))
+    written = written.filter(F.col("window_end").between(_at(min(times)), _at(max(times))))
     named = spark.createDataFrame([(_text(t), fired[t]) for t in times], "at string, seq long")
     valid = F.broadcast(named.select(F.col("at").cast("timestamp").alias("window_end"), "seq"))
     return written.join(valid, ["window_end", "seq"], "left_semi").filter("token <> ''").select(*COUNT_ROWS.names)
@@ -313,7 +319,7 @@ def add_posts(
     )
     keyed = arrived.withColumns({"window_day": F.to_date("window_end"), "batch": F.lit(batch_id).cast("long")})
     overwrite_partitions(
-        keyed.hint("rebalance", "window_day").observe(seen, F.collect_set(_end()).alias("ends")),
+        keyed.hint("rebalance", *BY_WINDOW).observe(seen, F.collect_set(_end()).alias("ends")),
         f"{target}/posts",
         ["window_day", "batch"],
     )
@@ -344,7 +350,7 @@ def _count_windows(
     once = first_rows(stored.withColumn("w", window), ["w", "url"], ("ts", "msg_id"))
     counts = f"{target}/counts"
     listed = None if words is None else read_words(spark, words)
-    seq = log.append(without_listed(token_rows(once), listed).select(*COUNT_ROWS.names), counts)
+    seq = log.append(without_listed(token_rows(once), listed).select(*COUNT_ROWS.names), counts, by=BY_WINDOW)
     own = log.read(spark, counts, COUNT_ROWS, days).filter((F.col("seq") == seq) & (F.col("token") == ""))
     log.append(
         own.select("window_start", "window_end", F.col("cnt").alias("total_posts"), F.lit(seq).alias("counted")).coalesce(1),
@@ -407,11 +413,13 @@ def _show_top(spark: SparkSession, target: str, params: StreamParams, firsts: Ma
     for first in firsts.values():
         before = _totals_before(spark, target, fired, first)
         counts = counts if before is None else counts.unionByName(before)
-    closed = _at_times(_windows(spark, target, set(firsts)).drop("counted"), changed)
+    windows = _windows(spark, target, set(firsts)).drop("counted")
+    closed = _at_times(windows, changed)
     if len(changed) == 1:  # the usual case: the newest window
         ranked = top_tokens_latest(counts, closed, params.top_n)
     else:
-        ranked = top_tokens(counts, closed, params.top_n, params.window)
+        able = top_contenders(counts, closed, windows, params.top_n)
+        ranked = top_tokens(able, closed, params.top_n, params.window)
     write_snapshot(top_snapshot(ranked, closed, params.top_n), target, "top", params.ttl_seconds)
 
 

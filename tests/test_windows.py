@@ -288,3 +288,29 @@ def test_no_group_holds_a_word_over_all_time(spark):
     assert found.agg(F.sum("prev_count")).first()[0] == 3 * (144 * 365 - 1)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "windowspecdefinition(block" in plan and "windowspecdefinition(token" not in plan
+
+
+@pytest.mark.parametrize("first_posts", [1, 40])
+def test_only_contenders_are_ranked(spark, first_posts):
+    """Words that cannot reach the first n are left out before ranking, and the ranking stays the same."""
+    start, rows = datetime(2024, 1, 1, 22, 0, tzinfo=UTC), []
+    for i in range(24):  # over midnight; the first window may hold next to nothing
+        posts = first_posts if i == 0 else 40
+        common = [(f"c{j}", max(1, posts * (9 - j) // 10 + (i * j) % 3)) for j in range(5)]
+        late = [("burst", 39 if i in (9, 20) else 1)]
+        rows += [(start + timedelta(minutes=10 * i), t, c) for t, c in common + late]
+        rows += [(start + timedelta(minutes=10 * i), f"rare{i % 7}-{j}", 1 + (j + i) % 2) for j in range(30)]
+    ten = F.expr("INTERVAL 10 MINUTES")
+    counts = spark.createDataFrame(rows, "window_start timestamp, token string, cnt long").select(
+        "window_start", (F.col("window_start") + ten).alias("window_end"), "token", "cnt"
+    ).cache()
+    closed = counts.groupBy("window_start", "window_end").agg(F.max("cnt").alias("total_posts"))
+    for n in (2, 3, 400):
+        able = w.top_contenders(counts, closed, closed, n)
+        assert sorted(w.top_tokens(able, closed, n).collect()) == sorted(w.top_tokens(counts, closed, n).collect())
+    few = {r["token"] for r in w.top_contenders(counts, closed, closed, 3).select("token").distinct().collect()}
+    assert {"c0", "c1", "c2"} <= few
+    if first_posts == 40:
+        assert not any(t.startswith("rare") for t in few)
+    # with an empty share to send all counts stay
+    assert w.top_contenders(counts, closed, closed, 3, sent_bytes=0).count() == counts.count()
